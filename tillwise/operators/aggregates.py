@@ -216,7 +216,10 @@ def tier_distribution(scored: DataFrame) -> DataFrame:
     """Merchants and revenue at risk per churn tier; the window spans at most four rows."""
     return (
         scored.groupBy("risk_tier")
-        .agg(F.count("*").alias("merchants"), F.sum("revenue_at_risk").alias("revenue_at_risk"))
+        .agg(
+            F.count("*").alias("merchants"),
+            F.sum(F.col("revenue_at_risk").cast("decimal(28,10)")).alias("revenue_at_risk"),
+        )
         .select(
             "risk_tier", "merchants",
             (F.col("merchants") / F.sum("merchants").over(W.partitionBy()) * 100).alias("percent"),
