@@ -65,8 +65,11 @@ def with_tables(*names: str) -> str:
 
 
 def rnd(expression: str, digits: int) -> str:
-    """Round half away from zero on the decimal reading of a double."""
-    return f"cast(round(cast({expression} as decimal(28,10)), {digits}) as double)"
+    """Round half away from zero on the shortest decimal text of a double, as Spark does."""
+    return (
+        f"cast(round(cast(cast(cast({expression} as double) as varchar) as decimal(38,20)), "
+        f"{digits}) as double)"
+    )
 
 
 def dbl(expression: str) -> str:

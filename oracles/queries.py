@@ -725,7 +725,7 @@ o AS (SELECT m.*, coalesce(n, 0) AS n, coalesce(v, 0e0) AS v, coalesce(mean, 0e0
 oracle("optimal_rate", MT, f"""
 SELECT merchant_id, n AS transaction_count, v AS total_volume, mean AS observed_avg_size,
   f AS total_fees, rate AS current_fee_rate, x AS cross_border_ratio,
-  {rnd('best', 9)} AS optimal_fee_rate FROM o""", RATES)
+  best AS optimal_fee_rate FROM o""", RATES)
 
 oracle("simulate_price_change", M, f"""
 SELECT {rnd('sum(r * v)', 2)} AS current_revenue,
@@ -739,9 +739,10 @@ FROM (SELECT r, v, c, 25e-3 * v * (1e0 + c * -5e-1) AS p FROM (
 IMPACT = f"""{RATES},
 i AS (SELECT merchant_id, business_category, pricing_tier, mv AS monthly_volume_usd,
     {dbl('churn_risk_score')} AS churn_risk_score, standing AS current_rate,
-    best AS recommended_rate, best - standing AS rate_change, mv * standing AS monthly_fee_current,
-    mv * best AS monthly_fee_recommended, mv * best - mv * standing AS revenue_impact
-  FROM (SELECT *, {dbl('monthly_volume_usd')} AS mv FROM o))"""
+    best AS recommended_rate, best - standing AS rate_change, fee AS monthly_fee_current,
+    mv * best AS monthly_fee_recommended, mv * best - fee AS revenue_impact
+  FROM (SELECT *, {dbl('monthly_volume_usd')} AS mv,
+      {dbl('monthly_volume_usd * cast(standing AS decimal(6,4))')} AS fee FROM o))"""
 MONEY = ["monthly_volume_usd", "churn_risk_score", "current_rate", "recommended_rate",
          "rate_change", "monthly_fee_current", "monthly_fee_recommended", "revenue_impact"]
 oracle("pricing_recommendations", MT, f"""
@@ -749,7 +750,7 @@ SELECT merchant_id, business_category, pricing_tier,
   {", ".join(f"{rnd(c, 4)} AS {c}" for c in MONEY)}
 FROM (SELECT * FROM i ORDER BY revenue_impact DESC, merchant_id LIMIT 25)""", IMPACT)
 oracle("total_impact", MT, f"""
-SELECT cast(sum(round(cast(revenue_impact AS decimal(28,10)), 4)) AS double) AS total_impact,
+SELECT cast(sum(cast({rnd('revenue_impact', 4)} AS decimal(28,4))) AS double) AS total_impact,
   count(*) AS merchants
 FROM (SELECT * FROM i ORDER BY revenue_impact DESC, merchant_id LIMIT 50)""", IMPACT)
 
@@ -773,7 +774,8 @@ oracle("elasticity", ("pricing_experiments",), "SELECT * FROM e", ELASTICITY)
 oracle("volume_impact", ("merchants", "pricing_experiments"), f"""
 SELECT merchant_id, segment, current_volume, price_change_pct, y AS elasticity,
   {rnd('price_change_pct * y', 2)} AS predicted_volume_change_pct,
-  {rnd('current_volume * (1 + price_change_pct * y / 100)', 2)} AS predicted_new_volume
+  cast(round(cast(current_volume AS decimal(18,2))
+    * (1 + cast(price_change_pct * y AS decimal(16,8)) * 0.01), 2) AS double) AS predicted_new_volume
 FROM (SELECT merchant_id, business_category AS segment,
     {dbl('monthly_volume_usd')} AS current_volume,
     cast(account_age_months % 21 - 10 AS double) AS price_change_pct,

@@ -41,11 +41,12 @@ def hits(words: Column, lexicon: list[str]) -> Column:
 
 def keywords(words: Column, top_n: int = 5) -> Column:
     """Lexicon words in text order, then category words in category order, first five."""
-    lexicon = k.POSITIVE_WORDS + k.NEGATIVE_WORDS
-    found = [F.filter(words, lambda w: w.isin(lexicon))]
-    found += [
-        F.filter(words, lambda w, vs=values: w.isin(vs)) for values in k.CATEGORY_KEYWORDS.values()
-    ]
+
+    def among(lexicon: list[str]) -> Column:
+        return F.filter(words, lambda word: word.isin(lexicon))
+
+    found = [among(k.POSITIVE_WORDS + k.NEGATIVE_WORDS)]
+    found += [among(values) for values in k.CATEGORY_KEYWORDS.values()]
     return F.slice(F.array_distinct(F.concat(*found)), 1, top_n)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,6 +86,10 @@ def price_impact(scored: DataFrame, rate: str) -> DataFrame:
     """Current tier rate against a proposed rate, with the monthly fee both ways."""
     volume, proposed = as_double("monthly_volume_usd"), as_double(rate)
     current = tier_rate(F.col("pricing_tier"))
+    # Both factors are decimals, so the standing fee is exact before it becomes a double.
+    fee = (
+        F.col("monthly_volume_usd").cast("decimal(18,2)") * current.cast("decimal(6,4)")
+    ).cast("double")
     return scored.select(
         "merchant_id", "business_category", "pricing_tier",
         volume.alias("monthly_volume_usd"),
@@ -92,9 +97,9 @@ def price_impact(scored: DataFrame, rate: str) -> DataFrame:
         current.alias("current_rate"),
         proposed.alias("recommended_rate"),
         (proposed - current).alias("rate_change"),
-        (volume * current).alias("monthly_fee_current"),
+        fee.alias("monthly_fee_current"),
         (volume * proposed).alias("monthly_fee_recommended"),
-        (volume * proposed - volume * current).alias("revenue_impact"),
+        (volume * proposed - fee).alias("revenue_impact"),
     )
 
 
@@ -152,13 +157,13 @@ def volume_impact(
         joined = requests.join(estimates, "segment", "left")
     e = F.coalesce("elasticity", F.lit(k.DEFAULT_ELASTICITY))
     change = as_double("price_change_pct") * e
+    factor = F.lit(1) + change.cast("decimal(16,8)") * F.lit(Decimal("0.01"))
+    volume = F.col("current_volume").cast("decimal(18,2)") * factor
     return joined.select(
         *[c for c in requests.columns],
         e.alias("elasticity"),
         F.round(change, 2).alias("predicted_volume_change_pct"),
-        F.round(as_double("current_volume") * (F.lit(1.0) + change / 100), 2).alias(
-            "predicted_new_volume"
-        ),
+        F.round(volume, 2).cast("double").alias("predicted_new_volume"),
     )
 
 

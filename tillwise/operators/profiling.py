@@ -117,7 +117,8 @@ def exact_quantiles(
     key = ["column_name", "probability"]
     outside = tagged.groupBy(*key).agg(
         F.sum(F.when(F.col("value") < F.col("low"), F.col("n")).otherwise(0)).alias("below"),
-        F.min(F.when(F.col("value") > F.col("high"), F.col("value"))).alias("next_above"),
+        F.max(F.when(F.col("value") < F.col("low"), F.col("value"))).alias("last_below"),
+        F.min(F.when(F.col("value") > F.col("high"), F.col("value"))).alias("first_above"),
         F.first("total").alias("total"),
     )
     inside = tagged.where(F.col("value").between(F.col("low"), F.col("high"))).select(
@@ -134,16 +135,24 @@ def exact_quantiles(
         .agg(
             F.max(F.when(whole.between(starts, ends), F.col("value"))).alias("lower"),
             F.max(F.when((whole + 1).between(starts, ends), F.col("value"))).alias("upper"),
-            F.first("next_above").alias("next_above"),
+            # With few rows the wanted ranks may be the direct neighbours of the bracket.
+            F.first(F.when(whole == F.col("below") - 1, F.col("last_below"))).alias("neighbour_low"),
+            F.first("first_above").alias("neighbour_high"),
+            F.max(ends).alias("last_inside"),
+            F.first(whole).alias("whole"),
+            F.first(F.col("total") - 1).alias("last"),
             F.first(rank - whole).alias("weight"),
         )
+        .withColumn("lower", F.coalesce("lower", "neighbour_low"))
+        .withColumn(
+            "upper",
+            F.when(F.col("whole") == F.col("last"), F.col("lower"))
+            .when(F.col("whole") == F.col("last_inside"), F.col("neighbour_high"))
+            .otherwise(F.col("upper")),
+        )
         .select(
             *key,
-            (
-                F.col("lower")
-                + F.col("weight")
-                * (F.coalesce("upper", "next_above", "lower") - F.col("lower"))
-            ).alias("quantile"),
+            (F.col("lower") + F.col("weight") * (F.col("upper") - F.col("lower"))).alias("quantile"),
         )
     )
 

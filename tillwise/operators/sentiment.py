@@ -268,7 +268,7 @@ def route_feedback(
 def sentiment_by_category(routed: DataFrame) -> DataFrame:
     """Category x sentiment counts, with zeros for combinations that do not occur."""
     pivoted = (
-        routed.groupBy("routed_category").pivot("sentiment", k.SENTIMENTS).agg(F.count("*"))
+        routed.groupBy("routed_category").pivot("sentiment", k.SENTIMENTS).agg(F.count(F.lit(1)))
     )
     return pivoted.na.fill(0, k.SENTIMENTS)
 

@@ -611,8 +611,7 @@ def feature_transformer(t: DomainTables) -> DataFrame:
 def optimal_rate(t: DomainTables) -> DataFrame:
     return pricing.optimal_rate(t["merchants"], t["transactions"]).select(
         "merchant_id", "transaction_count", "total_volume", "observed_avg_size", "total_fees",
-        "current_fee_rate", "cross_border_ratio",
-        F.round("optimal_fee_rate", 9).alias("optimal_fee_rate"),
+        "current_fee_rate", "cross_border_ratio", "optimal_fee_rate",
     )
 
 
