@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -10,6 +11,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvalu
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,8 +45,7 @@ class BoostingParams:
             "subsamplingRate": self.subsample,
             "maxBins": self.bins,
             "seed": self.seed,
-            # node ids are checkpointed to the shared folder every ten trees
-            "cacheNodeIds": True,
+            # residuals are checkpointed to the shared folder every ten trees
             "checkpointInterval": 10,
         }
 
@@ -91,14 +92,19 @@ def _importances(model: PipelineModel, names: list[str]) -> list[tuple[str, floa
 
 
 def _cross_validate(estimator, evaluator, rows: DataFrame, params: BoostingParams) -> list[float]:
-    """Held-out score per fold; folds come from a hash of the id, so they need no shuffle."""
-    scores = []
-    for fold in range(params.folds):
-        held = rows.where(F.col("fold") == fold)
-        if not held.isEmpty():
-            fold_model = estimator.fit(rows.where(F.col("fold") != fold))
-            scores.append(float(evaluator.evaluate(fold_model.transform(held))))
-    return scores
+    """Held-out score per fold; folds come from a hash of the id, so they need no shuffle.
+
+    The folds are independent fits of many short jobs, so they run side by side.
+    """
+    sizes = dict(rows.groupBy("fold").count().collect())
+
+    def score(fold: int) -> float:
+        fold_model = estimator.fit(rows.where(F.col("fold") != fold))
+        return float(evaluator.evaluate(fold_model.transform(rows.where(F.col("fold") == fold))))
+
+    run = inheritable_thread_target(rows.sparkSession)(score)
+    with ThreadPoolExecutor(max_workers=params.folds) as pool:
+        return list(pool.map(run, [f for f in range(params.folds) if sizes.get(f)]))
 
 
 def _prepare(labelled: DataFrame, numerics: list[str], label: str, params: BoostingParams) -> DataFrame:
@@ -120,16 +126,27 @@ def pricing_training(merchants: DataFrame, transactions: DataFrame) -> DataFrame
     )
 
 
-def fit_pricing(
-    merchants: DataFrame, transactions: DataFrame, params: BoostingParams = BoostingParams()
-) -> FittedModel:
+def _mae() -> RegressionEvaluator:
+    return RegressionEvaluator(labelCol="label", metricName="mae")
+
+
+def _auc() -> BinaryClassificationEvaluator:
+    return BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
+
+
+def _pricing_estimator(merchants: DataFrame, transactions: DataFrame, params: BoostingParams):
     rows = _prepare(
         pricing_training(merchants, transactions), k.PRICING_NUMERICS, "optimal_fee_rate", params
     )
     stages, names = _feature_stages(k.PRICING_NUMERICS, k.MODEL_CATEGORICALS)
-    estimator = Pipeline(
-        stages=[*stages, GBTRegressor(featuresCol="features", labelCol="label", **params.common())]
-    )
+    booster = GBTRegressor(featuresCol="features", labelCol="label", **params.common())
+    return rows, Pipeline(stages=[*stages, booster]), names
+
+
+def fit_pricing(
+    merchants: DataFrame, transactions: DataFrame, params: BoostingParams = BoostingParams()
+) -> FittedModel:
+    rows, estimator, names = _pricing_estimator(merchants, transactions, params)
     model = estimator.fit(rows.where(~F.col("is_test")))
     scored = model.transform(rows.where("is_test"))
     fitted = FittedModel(
@@ -138,12 +155,18 @@ def fit_pricing(
         importances=_importances(model, names),
     )
     if params.cross_validate:
-        fitted.cv_scores = _cross_validate(
-            estimator, RegressionEvaluator(labelCol="label", metricName="mae"), rows, params
-        )
+        fitted.cv_scores = _cross_validate(estimator, _mae(), rows, params)
     return fitted
 
 
+def cross_validate_pricing(
+    merchants: DataFrame, transactions: DataFrame, params: BoostingParams = BoostingParams()
+) -> list[float]:
+    """Mean absolute error of each fold."""
+    rows, estimator, _ = _pricing_estimator(merchants, transactions, params)
+    return _cross_validate(estimator, _mae(), rows, params)
+
+
 def predict_rate(df: DataFrame, fitted: FittedModel, output: str = "recommended_rate") -> DataFrame:
     """Adds the predicted fee rate, limited to the allowed range."""
     numerics = [n for n in fitted.feature_names if not n.endswith("_encoded")]
@@ -160,6 +183,21 @@ def _model_inputs(df: DataFrame, numerics: list[str], categoricals: list[str]) -
     return complete.select("_row", *numerics, *categoricals)
 
 
+def churn_training(merchants: DataFrame, transactions: DataFrame) -> DataFrame:
+    """Churn labels with the observed mean size as ``avg_transaction_size``."""
+    return churn_labels(merchants, transactions).withColumn(
+        "avg_transaction_size", F.col("observed_avg_size")
+    )
+
+
+def _churn_estimator(merchants, transactions, params: BoostingParams, exclude_leaky: bool):
+    numerics = [c for c in k.CHURN_NUMERICS if not (exclude_leaky and c == "days_since_last_txn")]
+    rows = _prepare(churn_training(merchants, transactions), numerics, "churned", params)
+    stages, names = _feature_stages(numerics, k.MODEL_CATEGORICALS)
+    booster = GBTClassifier(featuresCol="features", labelCol="label", **params.common())
+    return rows, Pipeline(stages=[*stages, booster]), names
+
+
 def fit_churn(
     merchants: DataFrame,
     transactions: DataFrame,
@@ -168,19 +206,10 @@ def fit_churn(
 ) -> FittedModel:
     """Churn classifier. The label is a threshold on ``days_since_last_txn``, which is also a
     feature by default; ``exclude_leaky`` leaves it out."""
-    numerics = [c for c in k.CHURN_NUMERICS if not (exclude_leaky and c == "days_since_last_txn")]
-    labelled = churn_labels(merchants, transactions).withColumn(
-        "avg_transaction_size", F.col("observed_avg_size")
-    )
-    rows = _prepare(labelled, numerics, "churned", params)
-    stages, names = _feature_stages(numerics, k.MODEL_CATEGORICALS)
-    estimator = Pipeline(
-        stages=[*stages, GBTClassifier(featuresCol="features", labelCol="label", **params.common())]
-    )
+    rows, estimator, names = _churn_estimator(merchants, transactions, params, exclude_leaky)
     model = estimator.fit(rows.where(~F.col("is_test")))
     scored = model.transform(rows.where("is_test"))
-    evaluator = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
-    auc = float(evaluator.evaluate(scored))
+    auc = float(_auc().evaluate(scored))
     fitted = FittedModel(
         model, names, k.MODEL_CATEGORICALS,
         metrics=classification_metrics(scored, "label", "prediction").withColumn(
@@ -189,10 +218,21 @@ def fit_churn(
         importances=_importances(model, names),
     )
     if params.cross_validate:
-        fitted.cv_scores = _cross_validate(estimator, evaluator, rows, params)
+        fitted.cv_scores = _cross_validate(estimator, _auc(), rows, params)
     return fitted
 
 
+def cross_validate_churn(
+    merchants: DataFrame,
+    transactions: DataFrame,
+    params: BoostingParams = BoostingParams(),
+    exclude_leaky: bool = False,
+) -> list[float]:
+    """Area under the ROC curve of each fold."""
+    rows, estimator, _ = _churn_estimator(merchants, transactions, params, exclude_leaky)
+    return _cross_validate(estimator, _auc(), rows, params)
+
+
 def predict_churn(
     df: DataFrame, fitted: FittedModel, threshold: float = 0.5, output: str = "churn_probability"
 ) -> DataFrame:

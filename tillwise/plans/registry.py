@@ -799,12 +799,16 @@ def _fitted(t: DomainTables, kind: str, fit: Callable[[], object]):
     return _MODELS[key]
 
 
+# The folds are only run by the two queries that report them.
+SINGLE_FIT = models.BoostingParams(cross_validate=False)
+
+
 def pricing_model(t: DomainTables) -> models.FittedModel:
-    return _fitted(t, "pricing", lambda: models.fit_pricing(t["merchants"], t["transactions"]))
+    return _fitted(t, "pricing", lambda: models.fit_pricing(t["merchants"], t["transactions"], SINGLE_FIT))
 
 
 def churn_model(t: DomainTables) -> models.FittedModel:
-    return _fitted(t, "churn", lambda: models.fit_churn(t["merchants"], t["transactions"]))
+    return _fitted(t, "churn", lambda: models.fit_churn(t["merchants"], t["transactions"], SINGLE_FIT))
 
 
 def sentiment_model(t: DomainTables) -> sentiment.SentimentFit:
@@ -814,9 +818,10 @@ def sentiment_model(t: DomainTables) -> sentiment.SentimentFit:
 @query("pricing_fit")
 def pricing_fit(t: DomainTables) -> DataFrame:
     fitted = pricing_model(t)
+    folds = models.cross_validate_pricing(t["merchants"], t["transactions"])
     return fitted.metrics.withColumns(
         {
-            "cv_mae": F.array(*[F.lit(s) for s in fitted.cv_scores]),
+            "cv_mae": F.array(*[F.lit(s) for s in folds]),
             "importances": F.create_map(
                 *[F.lit(v) for pair in fitted.importances for v in pair]
             ),
@@ -847,17 +852,16 @@ def total_impact_model(t: DomainTables) -> DataFrame:
 
 
 def _churn_rows(t: DomainTables) -> DataFrame:
-    return churn.churn_labels(t["merchants"], t["transactions"]).withColumn(
-        "avg_transaction_size", F.col("observed_avg_size")
-    )
+    return models.churn_training(t["merchants"], t["transactions"])
 
 
 @query("churn_fit")
 def churn_fit(t: DomainTables) -> DataFrame:
     fitted = churn_model(t)
+    folds = models.cross_validate_churn(t["merchants"], t["transactions"])
     return fitted.metrics.withColumns(
         {
-            "cv_auc": F.array(*[F.lit(s) for s in fitted.cv_scores]),
+            "cv_auc": F.array(*[F.lit(s) for s in folds]),
             "importances": F.create_map(
                 *[F.lit(v) for pair in fitted.importances for v in pair]
             ),
