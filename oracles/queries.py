@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from oracles.domain import dbl, rnd, with_tables
 from tillwise import constants as k
-from tillwise.functions.text import SPACE_CLASS
+from tillwise.functions.text import SPACE_POINTS
 from tillwise.plans.catalog import CATALOG
 from tillwise.schemas import TABLES, schema_of
 
+SPACE_CLASS = "".join(f"\\x{{{point:x}}}" for point in SPACE_POINTS)
+
 ORACLES: dict[str, str] = {}
 
 

@@ -28,7 +28,7 @@ def _metric(name: str) -> Column:
     completed = F.col("status") == "completed"
     foreign = F.col("is_cross_border")
     metrics = {
-        "count": F.count("transaction_id"),
+        "count": F.count("*"),
         "volume": total("amount_usd"),
         "avg_amount": mean("amount_usd"),
         "amount_std": F.stddev_samp(as_double("amount_usd")),
@@ -66,7 +66,7 @@ def daily_summary(transactions: DataFrame) -> DataFrame:
 def category_summary(transactions: DataFrame, merchants: DataFrame) -> DataFrame:
     """Totals by the merchant's own category; rows of unknown merchants have none."""
     per_merchant = transactions.groupBy("merchant_id").agg(
-        F.count("transaction_id").alias("n"),
+        F.count("*").alias("n"),
         F.sum("amount_usd").alias("v"),
         F.sum("total_fee_usd").alias("f"),
     )
@@ -88,7 +88,7 @@ def daily_transaction_summary(transactions: DataFrame, merchants: DataFrame) ->
     The category recorded on the transaction is used; only the region comes from the profile.
     """
     folded = transactions.groupBy("date", "merchant_id", "business_category").agg(
-        F.count("transaction_id").alias("n"),
+        F.count("*").alias("n"),
         F.sum("amount_usd").alias("v"),
         F.sum("total_fee_usd").alias("f"),
         F.count_if(F.col("is_cross_border")).alias("x"),
@@ -149,7 +149,7 @@ def pricing_analysis(transactions: DataFrame) -> DataFrame:
         )
         .groupBy(*keys)
         .agg(
-            F.count("transaction_id").alias("n"),
+            F.count("*").alias("n"),
             F.sum("amount_usd").alias("v"),
             F.sum("total_fee_usd").alias("f"),
             F.sum("fee_rate").alias("r"),
@@ -199,7 +199,7 @@ def cross_border_flows(transactions: DataFrame) -> DataFrame:
             F.col("user_country").alias("destination_country"),
         )
         .agg(
-            F.count("transaction_id").alias("transaction_count"),
+            F.count("*").alias("transaction_count"),
             total("amount_usd").alias("volume"),
             total("total_fee_usd").alias("fees"),
             mean("amount_usd").alias("avg_transaction_size"),
@@ -232,13 +232,13 @@ def monthly_totals(transactions: DataFrame) -> DataFrame:
     month = F.trunc("date", "MM")
     return (
         transactions.groupBy(month.alias("month_start"))
-        .agg(total("amount_usd").alias("volume"), F.count("transaction_id").alias("n"))
+        .agg(total("amount_usd").alias("volume"), F.count("*").alias("n"))
         .select(F.date_format("month_start", "yyyy-MM").alias("month"), "volume", "n")
     )
 
 
 def hourly_counts(transactions: DataFrame) -> DataFrame:
-    return transactions.groupBy("hour").agg(F.count("transaction_id").alias("n"))
+    return transactions.groupBy("hour").agg(F.count("*").alias("n"))
 
 
 def segment_counts(merchants: DataFrame) -> DataFrame:
@@ -272,7 +272,7 @@ def corridor_report(transactions: DataFrame, limit: int = 10) -> DataFrame:
     return (
         transactions.where("is_cross_border")
         .groupBy(F.col("merchant_country").alias("origin"), F.col("user_country").alias("destination"))
-        .agg(total("amount_usd").alias("volume"), F.count("transaction_id").alias("n"))
+        .agg(total("amount_usd").alias("volume"), F.count("*").alias("n"))
         .orderBy(F.desc("volume"), "origin", "destination")
         .limit(limit)
         .withColumn("cross_border_pct", F.round(overall, 1))

@@ -29,7 +29,7 @@ def churn_labels(
 
     activity = transactions.groupBy("merchant_id").agg(
         F.max("date").alias("last_transaction_date"),
-        F.count("transaction_id").alias("transaction_count"),
+        F.count("*").alias("transaction_count"),
         F.sum("amount_usd").cast("double").alias("total_volume"),
         mean("amount_usd").alias("observed_avg_size"),
         share(F.col("status") == "completed").alias("success_rate"),

@@ -27,7 +27,9 @@ def preprocess_text(df: DataFrame, text: str = "text") -> DataFrame:
 
 def _with_words(df: DataFrame, text: str, strip_punct: bool) -> DataFrame:
     processed = tx.preprocess(F.col(text))
-    return df.withColumn("_words", tx.tokens(processed, strip_punct))
+    return df.withColumn("_tokens", tx.tokens(processed, strip_punct)).select(
+        *df.columns, tx.known_words("_tokens").alias("_words")
+    )
 
 
 def extract_keywords(

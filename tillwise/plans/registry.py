@@ -702,10 +702,10 @@ def preprocess_text(t: DomainTables) -> DataFrame:
 
 @query("preprocess_documents")
 def preprocess_documents(t: DomainTables) -> DataFrame:
-    documents = t.star["documents"].select(
+    documents = t.star.spread("documents").select(
         F.concat(F.lit("D"), "doc_id").alias("source_id"), "text"
     )
-    turns = t.star["conversations"].select(
+    turns = t.star.spread("conversations").select(
         F.concat(F.lit("C"), "conv_id", F.lit("-"), "turn").alias("source_id"), "text"
     )
     return sentiment.preprocess_text(documents.unionByName(turns)).select(
@@ -738,7 +738,7 @@ def sentiment_rules(t: DomainTables) -> DataFrame:
 
 @query("batch_sentiment")
 def batch_sentiment(t: DomainTables) -> DataFrame:
-    documents = t.star["documents"].select(
+    documents = t.star.spread("documents").select(
         F.concat(F.lit("D"), "doc_id").alias("source_id"), "text"
     )
     tickets = t["feedback"].select(F.col("feedback_id").alias("source_id"), "text")

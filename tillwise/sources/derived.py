@@ -204,6 +204,17 @@ class StarTables:
     def __getitem__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
+    def spread(self, name: str) -> DataFrame:
+        """The table with at least one task per core, for work that is heavy per row.
+
+        Spark cuts files into total / cores bytes, but not below 4 MB, so fewer splits than
+        cores means less than 4 MB per core: only such a small table is redistributed, and
+        a large one is read as it is.
+        """
+        df = self[name]
+        cores = self.spark.sparkContext.defaultParallelism
+        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
 
 def derive_merchants(star: StarTables) -> DataFrame:
     # nation and region have a fixed 25 and 5 rows, so their broadcast size is known.
@@ -235,7 +246,7 @@ def derive_transactions(star: StarTables, merchants: DataFrame, users: DataFrame
     No side is broadcast by hint: merchants and users grow with the data, so the planner
     decides from their size, and a hot merchant or user is split by the skew-join rule.
     """
-    order_lines = star["lineitem"].join(
+    order_lines = star.spread("lineitem").join(
         star["orders"], F.col("l_orderkey") == F.col("o_orderkey")
     ).where(TRANSACTION_FILTER)
     base = (
@@ -260,7 +271,7 @@ def derive_feedback(star: StarTables) -> DataFrame:
         for name, expression in FEEDBACK_COLUMNS.items()
     }
     return (
-        star["events"].withColumn("n_suppliers", suppliers).selectExpr(*_exprs(columns))
+        star.spread("events").withColumn("n_suppliers", suppliers).selectExpr(*_exprs(columns))
     )
 
 
