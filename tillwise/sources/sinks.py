@@ -72,24 +72,21 @@ def execute_update(
     ``target`` must be a new folder: the table being read is never overwritten in place, so a
     job that fails half way leaves the old version whole.
     """
-    affected = Observation()
     touched = F.lit(True) if condition is None else F.coalesce(condition, F.lit(False))
     if action == "insert":
         if rows is None:
             raise ValueError("insert needs rows")
-        counted = rows.observe(affected, F.count(F.lit(1)).alias("rows"))
-        result = insert_rows(table, counted)
-    elif action in ("update", "delete"):
-        counted = table.observe(affected, F.count_if(touched).alias("rows"))
-        result = (
-            update_rows(counted, touched, assignments or {})
-            if action == "update"
-            else delete_rows(counted, touched)
-        )
+        affected, result = rows, insert_rows(table, rows)
+    elif action == "update":
+        affected, result = table.where(touched), update_rows(table, touched, assignments or {})
+    elif action == "delete":
+        affected, result = table.where(touched), delete_rows(table, touched)
     else:
         raise ValueError("action must be insert, update or delete")
     result.write.mode("errorifexists").parquet(target)
-    return affected.get["rows"]
+    # A count on its own reads only the columns of the condition. An observed count inside
+    # the write would be lost whenever the optimizer finds the kept part empty.
+    return affected.count()
 
 
 # --- exports --------------------------------------------------------------------
