@@ -55,11 +55,13 @@ def main() -> None:
         return time.perf_counter() - started
 
     seconds: dict[str, float] = {}
-    started = time.perf_counter()
     tables = DomainTables(spark, folder)
-    for name in tables.LANDED:
-        tables[name]
-    seconds["land_tables"] = time.perf_counter() - started
+    for _ in range(2):  # the first landing only warms the session up
+        DomainTables.forget_landed()
+        started = time.perf_counter()
+        for name in tables.LANDED:
+            tables[name]
+        seconds["land_tables"] = time.perf_counter() - started
     for name in HEADLINE:
         timed(name)
         seconds[name] = statistics.median(timed(name) for _ in range(runs))

@@ -52,7 +52,7 @@ def test_date_windows_reach_the_scan(spark, sf_dir, name):
 )
 def test_scans_read_only_what_they_need(spark, sf_dir, name, columns):
     text = plan(QUERIES[name](spark, sf_dir))
-    schemas = re.findall(r"transactions-\d+\].*?ReadSchema: struct<([^>]*)>", text)
+    schemas = re.findall(r"transactions-\w+\].*?ReadSchema: struct<([^>]*)>", text)
     assert schemas
     for schema in schemas:
         read = {field.split(":")[0] for field in re.sub(r"\(\d+,\d+\)", "", schema).split(",")}

@@ -259,7 +259,8 @@ ORDER BY total_volume DESC, platform""",
 WITH rated AS (
   SELECT {_bracket_case('amount_usd')} AS amount_bracket, pricing_tier, is_cross_border,
          amount_usd, total_fee_usd,
-         cast(cast(total_fee_usd AS double) / cast(amount_usd AS double) AS decimal(20,15)) AS rate
+         cast(cast(total_fee_usd AS double) / cast(amount_usd AS double) AS decimal(20,15)) AS rate,
+         cast(total_fee_usd AS double) / cast(amount_usd AS double) > 0.05D AS burdened
   FROM transactions
   WHERE status = 'completed'
 )
@@ -272,7 +273,7 @@ SELECT amount_bracket, pricing_tier,
                         count_if(NOT is_cross_border)) * 100, 3) AS domestic_rate_pct,
        round(try_divide(cast(sum(if(is_cross_border, rate, NULL)) AS double),
                         count_if(is_cross_border)) * 100, 3) AS intl_rate_pct,
-       count_if(rate > 0.05) AS high_fee_burden_count
+       count_if(burdened) AS high_fee_burden_count
 FROM rated
 GROUP BY amount_bracket, pricing_tier
 ORDER BY pricing_tier, min(amount_usd)""",

@@ -8,6 +8,7 @@ report afterwards is a pruned, filtered scan instead of a repeated four-way join
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -249,7 +250,7 @@ def derive_transactions(star: StarTables, merchants: DataFrame, users: DataFrame
     rule.
     """
     orders = (
-        star["orders"]
+        star.spread("orders")
         .join(
             users.alias("u"),
             F.expr("u.user_id = concat('U', lpad(cast(o_custkey as string), 12, '0'))"),
@@ -358,6 +359,11 @@ class DomainTables(Mapping[str, DataFrame]):
             return derive_feedback(self.star)
         return derive_experiments(self.star)
 
+    @classmethod
+    def forget_landed(cls) -> None:
+        """Lands every table again on its next use; written folders are left alone."""
+        cls._landed.clear()
+
     def _input_state(self) -> str:
         """Newest change, size and file count of the inputs, so changed input lands anew."""
         jvm = self.spark._jvm
@@ -377,7 +383,7 @@ class DomainTables(Mapping[str, DataFrame]):
     def _land(self, name: str) -> str:
         key = (self.spark.sparkContext.applicationId, self.star.sf_dir, self._input_state(), name)
         if key not in self._landed:
-            target = run_dir(self.spark, "landed", f"{name}-{len(self._landed)}")
+            target = run_dir(self.spark, "landed", f"{name}-{uuid.uuid4().hex[:8]}")
             df = self.derive(name)
             if name == "transactions":
                 # A local sort per task: no shuffle, and row groups then carry narrow date
