@@ -52,7 +52,7 @@ def test_date_windows_reach_the_scan(spark, sf_dir, name):
 )
 def test_scans_read_only_what_they_need(spark, sf_dir, name, columns):
     text = plan(QUERIES[name](spark, sf_dir))
-    schemas = re.findall(r"transactions-\w+\].*?ReadSchema: struct<([^>]*)>", text)
+    schemas = re.findall(r"/landed/tr.*?ReadSchema: struct<([^>]*)>", text)
     assert schemas
     for schema in schemas:
         read = {field.split(":")[0] for field in re.sub(r"\(\d+,\d+\)", "", schema).split(",")}
@@ -65,7 +65,7 @@ def test_facts_are_folded_before_the_merchant_join(spark, sf_dir, name):
     lines = plan(QUERIES[name](spark, sf_dir)).splitlines()
     join = next(i for i, line in enumerate(lines) if "Join" in line)
     depth = {i: len(re.match(r"[\s:+\-]*", line).group()) for i, line in enumerate(lines)}
-    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "/transactions-" in line)
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "/landed/tr" in line)
     above, level = [], depth[scan]
     for i in range(scan - 1, join, -1):
         if depth[i] < level:
