@@ -39,9 +39,11 @@ def shared_dir(spark: SparkSession) -> str | None:
     without one the answer is ``None`` and callers keep their lineage instead.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if configured:
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(configured)
         return configured.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         return None
     own = getattr(context, "_tillwise_shared_dir", None)
