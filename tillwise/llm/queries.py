@@ -2,12 +2,15 @@
 
 from tillwise.llm.mixing import OP2_SQL, op2_mixing
 from tillwise.llm.sharding import op7_sharding
+from tillwise.llm.topk import OP9_SQL, op9_exact_topk
 
 QUERIES = {
     "op2_mixing": op2_mixing,
     "op7_sharding": op7_sharding,
+    "op9_exact_topk": op9_exact_topk,
 }
 
 ORACLES = {
     "op2_mixing": OP2_SQL,
+    "op9_exact_topk": OP9_SQL,
 }
