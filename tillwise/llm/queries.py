@@ -2,10 +2,12 @@
 
 from tillwise.llm.mixing import OP2_SQL, op2_mixing
 from tillwise.llm.sharding import op7_sharding
+from tillwise.llm.token_files import op3_token_files
 from tillwise.llm.topk import OP9_SQL, op9_exact_topk
 
 QUERIES = {
     "op2_mixing": op2_mixing,
+    "op3_token_files": op3_token_files,
     "op7_sharding": op7_sharding,
     "op9_exact_topk": op9_exact_topk,
 }
