@@ -3,12 +3,14 @@
 from tillwise.llm.mixing import OP2_SQL, op2_mixing
 from tillwise.llm.packing import op8_packing
 from tillwise.llm.sharding import op7_sharding
+from tillwise.llm.simhash import op5_simhash
 from tillwise.llm.token_files import op3_token_files
 from tillwise.llm.topk import OP9_SQL, op9_exact_topk
 
 QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_token_files": op3_token_files,
+    "op5_simhash": op5_simhash,
     "op7_sharding": op7_sharding,
     "op8_packing": op8_packing,
     "op9_exact_topk": op9_exact_topk,

@@ -8,6 +8,7 @@ seen. Texts in which white space is not plain (or that name special tokens) go t
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 
@@ -19,14 +20,33 @@ UNUSUAL = re.compile(
 )
 #: How a byte-level tokenizer cuts at white space: one space belongs to the word that follows.
 SPACED_PIECES = re.compile(r" ?[^ \t\n\r]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+")
-#: Pieces that a worker remembers; beyond it forgets all and starts anew (speed only).
-CACHE_PIECES = 1_000_000
+#: Pieces in one generation of a worker's memory; two generations are kept (speed only).
+GENERATION = 700_000
+#: Marks that are cut off before a piece is looked up.
+MARKS = ",.;:!?"
 
 
 def id_type(vocabulary: int) -> str:
     return "uint16" if vocabulary <= 1 << 16 else "uint32"
 
 
+def plain_split(text: str) -> list[str]:
+    """Pieces between plain white space; empty ones have no ids."""
+    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+
+
+class UnusualPiece(Exception):
+    """The text of this piece has to be encoded whole."""
+
+
+def split_mark(piece: str) -> tuple[str, str]:
+    """The piece without one closing mark, and the mark: both tokenizers cut between a letter and
+    a mark. Only Latin-1 letters, which stay letters in lower case."""
+    if len(piece) > 1 and piece[-1] in MARKS and piece[-2] < "\u0100" and piece[-2].isalpha():
+        return piece[:-1], piece[-1]
+    return piece, ""
+
+
 class Encoder:
     """``encode(text)`` gives the ids as a numpy array. ``spaced`` says whether white space counts."""
 
@@ -35,24 +55,41 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.type = np.dtype(id_type(self.library.get_vocab_size(with_added_tokens=True)))
-        self.pieces = SPACED_PIECES.findall if spaced else str.split
+        self.split = SPACED_PIECES.findall if spaced else plain_split
         self.seen: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _ask(self, pieces: list[str]) -> list[bytes]:
+        found = self.library.encode_batch_fast(pieces, add_special_tokens=False)
+        return [array(self.type.char, f.ids).tobytes() for f in found]
+
+    def _learn(self, new: set[str]) -> None:
+        if any(map(UNUSUAL.search, new)):
+            raise UnusualPiece
+        if len(self.seen) + 2 * len(new) > GENERATION:
+            self.older, self.seen = self.seen, {}
+        seen, older = self.seen, self.older
+        parts = {p: split_mark(p) for p in new}
+        asked = list({x for both in parts.values() for x in both if x and x not in seen and x not in older})
+        seen.update(zip(asked, self._ask(asked)))
+        for piece, both in parts.items():
+            if piece not in seen:
+                seen[piece] = older.get(piece) or b"".join(
+                    seen[x] if x in seen else older[x] for x in both if x
+                )
 
     def encode(self, text: str) -> np.ndarray:
-        if UNUSUAL.search(text):
-            ids = self.library.encode(text, add_special_tokens=False).ids
-            return np.array(ids, dtype=self.type)
-        pieces, seen = self.pieces(text), self.seen
-        try:
-            joined = b"".join([seen[p] for p in pieces])
-        except KeyError:
-            if len(seen) > CACHE_PIECES:
-                seen.clear()
-            new = list({p for p in pieces if p not in seen})
-            for piece, found in zip(new, self.library.encode_batch(new, add_special_tokens=False)):
-                seen[piece] = np.array(found.ids, dtype=self.type).tobytes()
-            joined = b"".join([seen[p] for p in pieces])
-        return np.frombuffer(joined, dtype=self.type)
+        pieces = self.split(text)
+        found = list(map(self.seen.get, pieces))
+        if None in found:
+            try:
+                self._learn({p for p, ids in zip(pieces, found) if ids is None})
+            except UnusualPiece:
+                ids = self.library.encode(text, add_special_tokens=False).ids
+                return np.array(ids, dtype=self.type)
+            seen, older = self.seen, self.older
+            found = [seen[p] if p in seen else older[p] for p in pieces]
+        return np.frombuffer(b"".join(found), dtype=self.type)
 
 
 def encoder(path: str, spaced: bool) -> Encoder:
