@@ -4,10 +4,12 @@ from tillwise.llm.mixing import OP2_SQL, op2_mixing
 from tillwise.llm.packing import op8_packing
 from tillwise.llm.sharding import op7_sharding
 from tillwise.llm.simhash import op5_simhash
+from tillwise.llm.substring import OP1_SQL, op1_substring_dedup
 from tillwise.llm.token_files import op3_token_files
 from tillwise.llm.topk import OP9_SQL, op9_exact_topk
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_mixing": op2_mixing,
     "op3_token_files": op3_token_files,
     "op5_simhash": op5_simhash,
@@ -17,6 +19,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_substring_dedup": OP1_SQL,
     "op2_mixing": OP2_SQL,
     "op9_exact_topk": OP9_SQL,
 }
