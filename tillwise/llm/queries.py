@@ -2,6 +2,7 @@
 
 from tillwise.llm.mixing import OP2_SQL, op2_mixing
 from tillwise.llm.packing import op8_packing
+from tillwise.llm.quality import op4_quality
 from tillwise.llm.sharding import op7_sharding
 from tillwise.llm.simhash import op5_simhash
 from tillwise.llm.substring import OP1_SQL, op1_substring_dedup
@@ -12,6 +13,7 @@ QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_mixing": op2_mixing,
     "op3_token_files": op3_token_files,
+    "op4_quality": op4_quality,
     "op5_simhash": op5_simhash,
     "op7_sharding": op7_sharding,
     "op8_packing": op8_packing,
