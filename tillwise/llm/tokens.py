@@ -7,6 +7,7 @@ seen. Texts in which white space is not plain (or that name special tokens) go t
 
 from __future__ import annotations
 
+import os
 import re
 from array import array
 
@@ -51,17 +52,34 @@ class Encoder:
     """``encode(text)`` gives the ids as a numpy array. ``spaced`` says whether white space counts."""
 
     def __init__(self, path: str, spaced: bool):
+        # Tasks are the parallelism here; threads of the library would only compete with them.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.type = np.dtype(id_type(self.library.get_vocab_size(with_added_tokens=True)))
         self.split = SPACED_PIECES.findall if spaced else plain_split
+        # Stands between pieces; its id occurs in no piece that lacks its character.
+        divider = "\n" if spaced else " | "
+        self.divider = divider, self.library.encode(divider, add_special_tokens=False).ids[0]
         self.seen: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _ask(self, pieces: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(pieces, add_special_tokens=False)
-        return [array(self.type.char, f.ids).tobytes() for f in found]
+    def _ask(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pieces, in one call for all that can be told apart by the divider's id."""
+        divider, mark = self.divider
+        plain = [p for p in pieces if divider.strip(" ") not in p and not p.isspace()]
+        answer = {}
+        if plain:
+            ids = array(self.type.char, self.library.encode(divider.join(plain), add_special_tokens=False).ids)
+            cuts = np.flatnonzero(np.frombuffer(ids, self.type) == mark) * ids.itemsize
+            raw, step = ids.tobytes(), ids.itemsize
+            if len(cuts) == len(plain) - 1:
+                ends = [*cuts.tolist(), len(raw)]
+                answer = {p: raw[a:b] for p, a, b in zip(plain, [0, *(c + step for c in ends)], ends)}
+        rest = [p for p in pieces if p not in answer]
+        found = self.library.encode_batch_fast(rest, add_special_tokens=False)
+        return answer | {p: array(self.type.char, f.ids).tobytes() for p, f in zip(rest, found)}
 
     def _learn(self, new: set[str]) -> None:
         if any(map(UNUSUAL.search, new)):
@@ -71,7 +89,7 @@ class Encoder:
         seen, older = self.seen, self.older
         parts = {p: split_mark(p) for p in new}
         asked = list({x for both in parts.values() for x in both if x and x not in seen and x not in older})
-        seen.update(zip(asked, self._ask(asked)))
+        seen.update(self._ask(asked))
         for piece, both in parts.items():
             if piece not in seen:
                 seen[piece] = older.get(piece) or b"".join(
@@ -87,8 +105,9 @@ class Encoder:
             except UnusualPiece:
                 ids = self.library.encode(text, add_special_tokens=False).ids
                 return np.array(ids, dtype=self.type)
-            seen, older = self.seen, self.older
-            found = [seen[p] if p in seen else older[p] for p in pieces]
+            found = list(map(self.seen.get, pieces))
+            if None in found:  # a new generation has begun meanwhile
+                found = [ids if ids is not None else self.older[p] for p, ids in zip(pieces, found)]
         return np.frombuffer(b"".join(found), dtype=self.type)
 
 
