@@ -1,5 +1,6 @@
 """The registered query of each operator and the DuckDB SQL of those that SQL can express."""
 
+from tillwise.llm.fingerprints import op10_fingerprints
 from tillwise.llm.mixing import OP2_SQL, op2_mixing
 from tillwise.llm.packing import op8_packing
 from tillwise.llm.quality import op4_quality
@@ -18,6 +19,7 @@ QUERIES = {
     "op7_sharding": op7_sharding,
     "op8_packing": op8_packing,
     "op9_exact_topk": op9_exact_topk,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLES = {
