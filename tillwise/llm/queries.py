@@ -3,6 +3,7 @@
 from tillwise.llm.fingerprints import op10_fingerprints
 from tillwise.llm.mixing import OP2_SQL, op2_mixing
 from tillwise.llm.packing import op8_packing
+from tillwise.llm.privacy import op6_privacy
 from tillwise.llm.quality import op4_quality
 from tillwise.llm.sharding import op7_sharding
 from tillwise.llm.simhash import op5_simhash
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_token_files": op3_token_files,
     "op4_quality": op4_quality,
     "op5_simhash": op5_simhash,
+    "op6_privacy": op6_privacy,
     "op7_sharding": op7_sharding,
     "op8_packing": op8_packing,
     "op9_exact_topk": op9_exact_topk,
