@@ -175,10 +175,9 @@ def disclosing_terms(
         .where(F.col("n_pair") >= support)
     )
     pairs = cut_lineage(pairs.join(entity_counts, "entity"))
-    # Documents that have the term, and all documents.
+    # Documents that have the term, and all documents. Counts fold before they meet the pairs.
     term_counts = (
         docs.select(F.explode(_terms(F.coalesce("text", F.lit("")))).alias("term"))
-        .join(pairs.select("term").distinct(), "term", "left_semi")
         .groupBy("term")
         .agg(F.count("*").alias("n_term"))
     )
