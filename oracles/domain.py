@@ -34,11 +34,11 @@ CTES = {
       SELECT {_cols(_BASE)}
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey
       JOIN merchants m
-        ON m.merchant_id = concat('M', lpad(cast(l_suppkey as string), 12, '0'))
-      JOIN users u ON u.user_id = concat('U', lpad(cast(o_custkey as string), 12, '0'))
-      WHERE {d.TRANSACTION_FILTER})))""",
+        ON m.merchant_id = concat('M', lpad(cast({d.TRANSACTION_SUPPLIER} as string), 12, '0'))
+      JOIN users u ON u.user_id = concat('U', lpad(cast(o_custkey as string), 12, '0')))))""",
     "feedback": f"""feedback AS (
-  SELECT {_cols(d.FEEDBACK_COLUMNS)} FROM events)""",
+  SELECT {_cols(d.FEEDBACK_COLUMNS)}
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)""",
     "pricing_experiments": f"""pricing_experiments AS (
   SELECT {_cols(d.EXPERIMENT_KEYS)},
     cast(sum(case when l_linenumber % 2 = 1 then 1 else 0 end) as bigint) AS control_sample_size,

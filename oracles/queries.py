@@ -195,20 +195,19 @@ oracle("table_stats", ALL, "\nUNION ALL ".join(
     f"SELECT '{n}' AS table_name, count(*) AS row_count, "
     f"'{', '.join(schema_of(n).names)}' AS columns FROM {n}" for n in TABLES
 ))
-oracle("table_info", T, "\nUNION ALL ".join(
-    f"SELECT 'transactions' AS table_name, {i} AS position, '{f.name}' AS column_name, "
-    f"'{f.dataType.simpleString()}' AS column_type, (SELECT count(*) FROM transactions) AS row_count"
-    for i, f in enumerate(schema_of("transactions").fields)
+oracle("table_info", ALL, "\nUNION ALL ".join(
+    f"SELECT '{name}' AS table_name, {i} AS position, '{f.name}' AS column_name, "
+    f"'{f.dataType.simpleString()}' AS column_type, (SELECT count(*) FROM {name}) AS row_count"
+    for name in TABLES for i, f in enumerate(schema_of(name).fields)
 ))
 
-oracle("ingest_dedup", ("transactions", "feedback"), """
-SELECT 'transactions' AS table_name, count(*) AS row_count,
-  (SELECT count(*) FROM (SELECT DISTINCT * FROM transactions)) AS distinct_rows,
-  count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM transactions)) AS removed
-FROM transactions UNION ALL
-SELECT 'feedback', count(*), (SELECT count(*) FROM (SELECT DISTINCT * FROM twice)),
-  count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM twice)) FROM twice""",
-       "twice AS (SELECT * FROM feedback UNION ALL SELECT * FROM feedback)")
+# Every table as it is, and the feedback once more as a delivery that came twice.
+oracle("ingest_dedup", ALL, "\nUNION ALL ".join(
+    f"""SELECT '{label}' AS table_name, count(*) AS row_count,
+  (SELECT count(*) FROM (SELECT DISTINCT * FROM {source})) AS distinct_rows,
+  count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {source})) AS removed FROM {source}"""
+    for label, source in (*((n, n) for n in TABLES), ("feedback_twice", "twice"))
+), "twice AS (SELECT * FROM feedback UNION ALL SELECT * FROM feedback)")
 
 oracle("write_mode", ("users",), """
 SELECT cast(step AS int) AS step, mode, n * factor AS row_count, refused
@@ -346,11 +345,11 @@ FROM (SELECT *, concat_ws('; ',
 REQUEST_COLUMNS = ["merchant_id", "business_category", "region", "pricing_tier",
                    "monthly_volume_usd", "avg_transaction_size", "account_age_months",
                    "dispute_rate"]
-oracle("missing_values", T, "\nUNION ALL ".join(
+oracle("missing_values", ALL, "\nUNION ALL ".join(
     f"SELECT '{table}' AS table_name, '{c}' AS column_name, "
     f"count(*) FILTER ({c} IS NULL) AS missing FROM {table}"
     for table, columns in (("requests", REQUEST_COLUMNS),
-                           ("transactions", schema_of("transactions").names))
+                           *((n, schema_of(n).names) for n in TABLES))
     for c in columns
 ), REQUESTS)
 

@@ -292,11 +292,14 @@ def test_feature_transformer(spark):
     assert transformer.get_feature_names(include_original=True)[:2] == [
         "monthly_volume_usd_scaled", "dispute_rate_scaled",
     ]
-    narrow = features.FeatureTransformer(
-        features.FeatureConfig([], ["merchant_id"], max_classes=2)
-    )
-    with pytest.raises(ValueError, match="classes"):
-        narrow.fit(m)
+
+
+def test_fifty_thousand_classes(spark):
+    many = spark.range(50_000).select(F.concat(F.lit("c"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("c"))
+    transformer = features.FeatureTransformer(features.FeatureConfig([], ["c"]))
+    coded = transformer.fit_transform(many)
+    assert coded.where(F.col("c_encoded") != F.substring("c", 2, 6).cast("int")).isEmpty()
+    assert coded.count() == 50_000
 
 
 def test_validation_reasons(spark):

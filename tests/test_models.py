@@ -46,18 +46,37 @@ def test_predicted_rates_stay_in_range(data, pricing_fit):
     assert impacts == sorted(impacts, reverse=True)
 
 
-def test_requests_without_transaction_features_are_scored(data, pricing_fit, churn_fit):
-    requests = data[0].select(*transforms.REQUIRED_TEXT, *transforms.REQUIRED_NUMBERS)
-    valid = transforms.validate_merchant_input(requests).where("is_valid")
-    rates = scoring.score_pricing(
-        models.predict_rate(valid, pricing_fit), F.col("recommended_rate")
+def test_requests_are_scored_on_observed_activity(spark, data, pricing_fit, churn_fit):
+    requests = data[0].select(*transforms.REQUIRED_TEXT, *transforms.REQUIRED_NUMBERS, "integration_type")
+    stranger = requests.limit(1).withColumn("merchant_id", F.lit("M-new"))
+    valid = transforms.validate_merchant_input(requests.union(stranger)).where("is_valid")
+    with pytest.raises(ValueError, match="inputs absent"):
+        models.predict_churn(valid, churn_fit)
+    training = models.churn_training(*data)
+    joined = models.with_activity(valid.drop("churn_risk_score"), training)
+    scored = models.predict_churn(joined, churn_fit)
+    probability = F.when(F.col("status") == "scored", F.col("churn_probability"))
+    tiers = {r.merchant_id: r.risk_tier for r in scoring.score_churn(scored, probability).collect()}
+    expected = churn.risk_tiers(models.predict_churn(training.where("transaction_count > 0"), churn_fit))
+    assert tiers == {
+        r.merchant_id: None for r in joined.where("status = 'insufficient_data'").collect()
+    } | {r.merchant_id: r.risk_tier for r in expected.collect()}
+    assert tiers["M-new"] is None and len(set(tiers.values())) > 2
+    rates = models.predict_rate(
+        models.with_activity(valid, models.pricing_training(*data)), pricing_fit
     )
-    assert rates.count() == requests.count()
-    assert set(rates.first().factors) == {"volume_impact", "churn_risk_impact", "cross_border_impact"}
-    risks = scoring.score_churn(
-        models.predict_churn(valid, churn_fit), F.col("churn_probability")
-    )
-    assert risks.where(~F.col("churn_probability").between(0, 1)).isEmpty()
+    assert rates.count() == requests.count() + 1
+
+
+def test_splits_are_stratified(data):
+    from tillwise.operators.splits import stratified
+
+    rows = models.churn_training(*data).select("merchant_id", "churned")
+    parts = stratified(rows, "merchant_id", "churned", {"fold": [0.2, 0.4, 0.6, 0.8]}, 7)
+    sizes = parts.groupBy("churned", "fold").count().collect()
+    for label in {r.churned for r in sizes}:
+        counts = [r["count"] for r in sizes if r.churned == label]
+        assert len(counts) == 5 and max(counts) - min(counts) <= 1
 
 
 def test_unseen_categories_are_scored(data, pricing_fit):

@@ -28,17 +28,40 @@ def same(a, b) -> bool:
 def test_tables_survive_a_round_trip(spark, tables, tmp_path, fmt, name):
     df = tables[name].limit(200)
     path = str(tmp_path / f"{name}.{fmt}")
-    assert sinks.write_table(df, path, "replace", fmt) == df.count()
-    assert same(readers.read_table(spark, path, name, fmt), df)
+    assert sinks.write_table(df, path, "replace", fmt, escape=True) == df.count()
+    assert same(readers.read_table(spark, path, name, fmt, "escaped"), df)
 
 
 def test_quoted_text_survives_csv(spark, tmp_path):
     schema = schema_of("feedback")
     text = 'She said "no, thanks"\nand left, \\ twice'
     df = spark.createDataFrame([("F1", "M1", None, text, None, "a", "b", True)], schema)
-    sinks.write_table(df, str(tmp_path / "f.csv"), "replace", "csv")
-    row = readers.read_table(spark, str(tmp_path / "f.csv"), "feedback", "csv").first()
-    assert row.text == text and row.timestamp is None and row.sentiment_label is None
+    for newlines in ("quoted", "escaped"):
+        path = str(tmp_path / f"{newlines}.csv")
+        sinks.write_table(df, path, "replace", "csv", escape=newlines == "escaped")
+        row = readers.read_table(spark, path, "feedback", "csv", newlines).first()
+        assert row.text == text and row.timestamp is None and row.sentiment_label is None
+
+
+def test_one_csv_file_is_read_by_several_tasks(spark, tables, tmp_path):
+    path = str(tmp_path / "feedback.csv")
+    sinks.write_table(tables["feedback"].coalesce(1), path, "replace", "csv", escape=True)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        read = readers.read_table(spark, path, "feedback", "csv", "escaped")
+        assert read.rdd.getNumPartitions() > 1
+        assert same(read, tables["feedback"])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_only_the_tables_of_a_folder_are_loaded(spark, tables, tmp_path):
+    sinks.write_table(tables["merchants"], str(tmp_path / "merchants.csv"), "replace", "csv")
+    found, counts = readers.load_all_tables(spark, str(tmp_path), "csv")
+    assert list(found) == ["merchants"] and counts.count() == 1
+    with pytest.raises(FileNotFoundError):
+        readers.load_all_tables(spark, str(tmp_path / "none"), "csv")
 
 
 def test_malformed_csv_fails(spark, tmp_path):
@@ -150,8 +173,8 @@ def test_daily_batch(spark, tables, tmp_path):
     for name in TABLES:
         df = tables[name]
         # every user arrives twice
-        sinks.write_table(df.unionByName(df) if name == "users" else df, f"{raw}/{name}.csv", "replace", "csv")
-    config = BatchConfig(raw, out, batch_date="2001-08-01")
+        sinks.write_table(df.unionByName(df) if name == "users" else df, f"{raw}/{name}.csv", "replace", "csv", escape=True)
+    config = BatchConfig(raw, out, newlines="escaped", batch_date="2001-08-01")
     data = run_batch(spark, config)
     assert data["users"].count() == tables["users"].count()
     assert {"pricing_features", "churn_features", "daily_summary", "category_summary"} <= set(data)
@@ -162,7 +185,7 @@ def test_daily_batch(spark, tables, tmp_path):
     first = spark.read.parquet(f"{out}/aggregates/daily_summary").count()
     run_batch(spark, config)
     assert spark.read.parquet(f"{out}/aggregates/daily_summary").count() == first
-    run_batch(spark, BatchConfig(raw, out, batch_date="2001-08-02"))
+    run_batch(spark, BatchConfig(raw, out, newlines="escaped", batch_date="2001-08-02"))
     assert spark.read.parquet(f"{out}/aggregates/daily_summary").count() == 2 * first
 
 

@@ -137,12 +137,26 @@ def test_method_errors(spark):
 def test_fitted_model_and_hybrid(spark, tables):
     fit = sentiment.fit_sentiment(tables["feedback"])
     report = fit.metrics.collect()
-    assert {r.label for r in report} == set(k.SENTIMENTS)
-    assert report[0].accuracy > 0.95
+    assert {r.label for r in report} <= set(k.SENTIMENTS) and len(report) > 1
+    assert 0 <= report[0].accuracy <= 1
     counts = {r.label: r.n for r in fit.class_counts.collect()}
-    assert sum(counts.values()) == tables["feedback"].count()
+    labelled = tables["feedback"].where("sentiment_label IS NOT NULL").count()
+    assert sum(counts.values()) == labelled > 0
     scored = sentiment.sentiment_ml(tables["feedback"], fit)
-    assert scored.where("ml_confidence < 1.0 / 3 - 0.001 or ml_confidence > 1").isEmpty()
+    assert scored.count() == tables["feedback"].count()
+    assert scored.where(f"ml_confidence < 1.0 / {len(report)} - 0.001 or ml_confidence > 1").isEmpty()
+    tickets = spark.createDataFrame(
+        [
+            (f"T{i}", text, label)
+            for i, (text, label) in enumerate(
+                40 * [("great fast easy checkout", "positive"), ("slow bad hold fraud", "negative"),
+                      ("question about the roadmap", "neutral")]
+            )
+        ],
+        "feedback_id STRING, text STRING, sentiment_label STRING",
+    )
+    fit = sentiment.fit_sentiment(tickets)
+    assert fit.metrics.first().accuracy == 1.0
     hybrid = sentiment.analyze(texts(spark, "great fast easy", "zzz"), fit)
     rows = by_key(hybrid, "id")
     assert rows[0]["sentiment"] == "positive"

@@ -19,7 +19,7 @@ from tillwise import constants as k
 from tillwise.functions.expressions import as_double, clip
 from tillwise.operators.churn import classification_metrics, churn_labels
 from tillwise.operators.pricing import optimal_rate, regression_metrics
-from tillwise.operators.splits import hash_bucket
+from tillwise.operators.splits import hash_bucket, stratified
 from tillwise.session import cut_lineage
 
 
@@ -31,7 +31,6 @@ class BoostingParams:
     depth: int = 6
     learning_rate: float = 0.1
     subsample: float = 0.8
-    bins: int = 64
     seed: int = 42
     test_percent: int = 20
     folds: int = 5
@@ -43,7 +42,6 @@ class BoostingParams:
             "maxDepth": self.depth,
             "stepSize": self.learning_rate,
             "subsamplingRate": self.subsample,
-            "maxBins": self.bins,
             "seed": self.seed,
             # residuals are checkpointed to the shared folder every ten trees
             "checkpointInterval": 10,
@@ -61,21 +59,47 @@ class FittedModel:
 
 
 def _complete(df: DataFrame, numerics: list[str], categoricals: list[str]) -> DataFrame:
-    """Every model input present and non-null: absent or NULL numbers are 0, text 'unknown'."""
-    columns = {}
-    for c in numerics:
-        columns[c] = (
-            F.coalesce(as_double(c), F.lit(0.0)) if c in df.columns else F.lit(0.0)
-        )
-    for c in categoricals:
-        columns[c] = (
-            F.coalesce(F.col(c).cast("string"), F.lit("unknown"))
-            if c in df.columns
-            else F.lit("unknown")
-        )
+    """Every model input non-null: NULL numbers are 0, NULL text is 'unknown'. An input that the
+    frame lacks is an error: a score without it would mean nothing."""
+    absent = [c for c in (*numerics, *categoricals) if c not in df.columns]
+    if absent:
+        raise ValueError(f"model inputs absent: {absent}; see with_activity")
+    columns = {c: F.coalesce(as_double(c), F.lit(0.0)) for c in numerics}
+    columns |= {c: F.coalesce(F.col(c).cast("string"), F.lit("unknown")) for c in categoricals}
     return df.withColumns(columns)
 
 
+#: Inputs that a request may state but that the models learnt from observed transactions.
+OBSERVED = ("avg_transaction_size", "cross_border_ratio")
+
+
+def with_activity(requests: DataFrame, training: DataFrame) -> DataFrame:
+    """Requests with the observed activity of their merchants, as the model was trained on it, and
+    ``status``: ``scored``, or ``insufficient_data`` for a merchant without transactions."""
+    taken = [
+        c
+        for c in training.columns
+        if c != "merchant_id" and (c not in requests.columns or c in OBSERVED)
+    ]
+    activity = training.select(F.col("merchant_id").alias("_merchant"), *taken)
+    own = [c for c in requests.columns if c not in taken]
+    return (
+        requests.select(*own)
+        .join(activity, F.col("merchant_id") == F.col("_merchant"), "left")
+        .drop("_merchant")
+        .withColumn(
+            "status",
+            F.when(F.col("transaction_count") > 0, "scored").otherwise("insufficient_data"),
+        )
+    )
+
+
+def _bins(rows: DataFrame, categoricals: list[str]) -> int:
+    """Bins of the trees: each category needs one of its own, and one for unseen values."""
+    most = rows.agg(*[F.count_distinct(c).alias(c) for c in categoricals]).first()
+    return max(64, *(n + 1 for n in most))
+
+
 def _feature_stages(numerics: list[str], categoricals: list[str]) -> tuple[list, list[str]]:
     encoded = [f"{c}_encoded" for c in categoricals]
     indexer = StringIndexer(
@@ -107,16 +131,28 @@ def _cross_validate(estimator, evaluator, rows: DataFrame, params: BoostingParam
         return list(pool.map(run, [f for f in range(params.folds) if sizes.get(f)]))
 
 
-def _prepare(labelled: DataFrame, numerics: list[str], label: str, params: BoostingParams) -> DataFrame:
-    """Model inputs with split and fold, cut from the transaction lineage once."""
+def _prepare(
+    labelled: DataFrame, numerics: list[str], label: str, params: BoostingParams, stratify: bool = False
+) -> DataFrame:
+    """Model inputs with split and fold, cut from the transaction lineage once. ``stratify`` gives
+    every split and fold its share of each label."""
     complete = _complete(labelled, numerics, k.MODEL_CATEGORICALS)
-    return cut_lineage(
-        complete.select(
-            "merchant_id", *numerics, *k.MODEL_CATEGORICALS, as_double(label).alias("label"),
-            (hash_bucket("merchant_id", 100) < params.test_percent).alias("is_test"),
-            hash_bucket("merchant_id", params.folds, seed=7).alias("fold"),
-        )
+    rows = complete.select(
+        "merchant_id", *numerics, *k.MODEL_CATEGORICALS, as_double(label).alias("label")
     )
+    if stratify:
+        rows = stratified(rows, "merchant_id", "label", {"is_test": [params.test_percent / 100]}, 42)
+        cuts = [i / params.folds for i in range(1, params.folds)]
+        rows = stratified(rows, "merchant_id", "label", {"fold": cuts}, 7)
+        rows = rows.withColumn("is_test", F.col("is_test") == 0)
+    else:
+        rows = rows.withColumns(
+            {
+                "is_test": hash_bucket("merchant_id", 100) < params.test_percent,
+                "fold": hash_bucket("merchant_id", params.folds, seed=7),
+            }
+        )
+    return cut_lineage(rows)
 
 
 def pricing_training(merchants: DataFrame, transactions: DataFrame) -> DataFrame:
@@ -139,7 +175,10 @@ def _pricing_estimator(merchants: DataFrame, transactions: DataFrame, params: Bo
         pricing_training(merchants, transactions), k.PRICING_NUMERICS, "optimal_fee_rate", params
     )
     stages, names = _feature_stages(k.PRICING_NUMERICS, k.MODEL_CATEGORICALS)
-    booster = GBTRegressor(featuresCol="features", labelCol="label", **params.common())
+    booster = GBTRegressor(
+        featuresCol="features", labelCol="label", maxBins=_bins(rows, k.MODEL_CATEGORICALS),
+        **params.common(),
+    )
     return rows, Pipeline(stages=[*stages, booster]), names
 
 
@@ -192,9 +231,12 @@ def churn_training(merchants: DataFrame, transactions: DataFrame) -> DataFrame:
 
 def _churn_estimator(merchants, transactions, params: BoostingParams, exclude_leaky: bool):
     numerics = [c for c in k.CHURN_NUMERICS if not (exclude_leaky and c == "days_since_last_txn")]
-    rows = _prepare(churn_training(merchants, transactions), numerics, "churned", params)
+    rows = _prepare(churn_training(merchants, transactions), numerics, "churned", params, stratify=True)
     stages, names = _feature_stages(numerics, k.MODEL_CATEGORICALS)
-    booster = GBTClassifier(featuresCol="features", labelCol="label", **params.common())
+    booster = GBTClassifier(
+        featuresCol="features", labelCol="label", maxBins=_bins(rows, k.MODEL_CATEGORICALS),
+        **params.common(),
+    )
     return rows, Pipeline(stages=[*stages, booster]), names
 
 

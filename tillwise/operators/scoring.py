@@ -34,9 +34,10 @@ def score_pricing(requests: DataFrame, rate: Column) -> DataFrame:
 
 
 def score_churn(requests: DataFrame, probability: Column) -> DataFrame:
-    """Churn response for each request: tier, revenue at risk and the action to take."""
+    """Churn response for each request: tier, revenue at risk and the action to take; none of them
+    without a probability."""
     p = probability.cast("double")
-    tier = churn_tier(p)
+    tier = F.when(p.isNotNull(), churn_tier(p))
     revenue = as_double("monthly_volume_usd") * k.REVENUE_SHARE
     return requests.select(
         "merchant_id",

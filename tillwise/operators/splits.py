@@ -1,12 +1,39 @@
-"""Repeatable train/test splits and folds that need no shuffle."""
+"""Repeatable train/test splits and folds from a hash that any SQL engine can compute."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def hash_number(key: str, seed: int = 42) -> Column:
+    """32 bits of the md5 of key and seed, as a number."""
+    text = F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
 def hash_bucket(key: str, buckets: int, seed: int = 42) -> Column:
     """Bucket of a row from a hash of its key: the same row always lands in the same bucket,
-    whatever the partitioning, and every class is spread evenly in expectation."""
-    return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(buckets)).cast("int")
+    whatever the partitioning, without a shuffle."""
+    return F.pmod(hash_number(key, seed), F.lit(buckets)).cast("int")
+
+
+def stratified(
+    df: DataFrame, key: str, label: str, shares: dict[str, list[float]], seed: int = 42
+) -> DataFrame:
+    """Adds a part number per entry of ``shares`` (cumulative cuts in (0, 1)), so that each part has
+    its share of every label: the cuts are quantiles of the key's hash within the label.
+
+    Quantiles come from mergeable sketches, one row per label; no label is gathered in one task.
+    """
+    number = hash_number(key, seed)
+    for name, cuts in shares.items():
+        limits = df.groupBy(F.col(label).alias("_label")).agg(
+            F.percentile_approx(number, cuts, 100_000).alias("_limits")
+        )
+        df = (
+            df.join(limits, F.col(label).eqNullSafe(F.col("_label")), "left")
+            .withColumn(name, F.size(F.filter("_limits", lambda x: x < number)))
+            .drop("_label", "_limits")
+        )
+    return df

@@ -29,6 +29,7 @@ class BatchConfig:
     input_dir: str
     output_dir: str
     input_format: str = "csv"
+    newlines: str = "none"
     output_format: str = "parquet"
     batch_date: str = field(default_factory=_yesterday)
     tables: tuple[str, ...] = tuple(TABLES)
@@ -83,7 +84,7 @@ def run_batch(spark: SparkSession, config: BatchConfig) -> dict[str, DataFrame]:
             log.info("%s %s: %s rows", step, name, counts[name])
         return stored
 
-    raw, _ = load_all_tables(spark, config.input_dir, config.input_format, config.tables)
+    raw, _ = load_all_tables(spark, config.input_dir, config.input_format, config.tables, config.newlines)
     clean = landed("ingested", ingest(raw))
     changed = transform(clean)
     data = {

@@ -80,20 +80,16 @@ def read_table_csv(t: DomainTables) -> DataFrame:
 def load_all_tables(t: DomainTables) -> DataFrame:
     folder = work_dir(t, "csv")
     for name in TABLES:
-        sinks.write_table(t[name], f"{folder}/{name}.csv", "replace", "csv")
-    _, counts = readers.load_all_tables(t.spark, folder, "csv")
+        sinks.write_table(t[name], f"{folder}/{name}.csv", "replace", "csv", escape=True)
+    _, counts = readers.load_all_tables(t.spark, folder, "csv", newlines="escaped")
     return counts
 
 
 @query("ingest_dedup")
 def ingest_dedup(t: DomainTables) -> DataFrame:
-    # Transactions as they are, and a feedback file that was delivered twice.
-    return readers.duplicate_report(
-        {
-            "transactions": t["transactions"],
-            "feedback": t["feedback"].unionByName(t["feedback"]),
-        }
-    )
+    # Every table as it is, and the feedback once more as a delivery that came twice.
+    twice = t["feedback"].unionByName(t["feedback"])
+    return readers.duplicate_report({**{n: t[n] for n in TABLES}, "feedback_twice": twice})
 
 
 @query("write_mode")
@@ -162,7 +158,10 @@ def execute_update(t: DomainTables) -> DataFrame:
 
 @query("table_info")
 def table_info(t: DomainTables) -> DataFrame:
-    return readers.table_info(t["transactions"].select(*schema_of("transactions").names), "transactions")
+    return reduce(
+        DataFrame.unionByName,
+        [readers.table_info(t[n].select(*schema_of(n).names), n) for n in TABLES],
+    )
 
 
 @query("table_stats")
@@ -311,11 +310,14 @@ def validate_merchant_input(t: DomainTables) -> DataFrame:
 
 @query("missing_values")
 def missing_values(t: DomainTables) -> DataFrame:
-    requests = profiling.missing_values(scoring_requests(t)).select(
-        F.lit("requests").alias("table_name"), "*"
+    tables = {"requests": scoring_requests(t), **{n: t[n].select(*schema_of(n).names) for n in TABLES}}
+    return reduce(
+        DataFrame.unionByName,
+        [
+            profiling.missing_values(df).select(F.lit(name).alias("table_name"), "*")
+            for name, df in tables.items()
+        ],
     )
-    facts = profiling.missing_values(t["transactions"].select(*schema_of("transactions").names))
-    return requests.unionByName(facts.select(F.lit("transactions").alias("table_name"), "*"))
 
 
 @query("describe_table")
@@ -702,10 +704,10 @@ def preprocess_text(t: DomainTables) -> DataFrame:
 
 @query("preprocess_documents")
 def preprocess_documents(t: DomainTables) -> DataFrame:
-    documents = t.star.spread("documents").select(
+    documents = t.star.scan("documents").select(
         F.concat(F.lit("D"), "doc_id").alias("source_id"), "text"
     )
-    turns = t.star.spread("conversations").select(
+    turns = t.star.scan("conversations").select(
         F.concat(F.lit("C"), "conv_id", F.lit("-"), "turn").alias("source_id"), "text"
     )
     return sentiment.preprocess_text(documents.unionByName(turns)).select(
@@ -738,7 +740,7 @@ def sentiment_rules(t: DomainTables) -> DataFrame:
 
 @query("batch_sentiment")
 def batch_sentiment(t: DomainTables) -> DataFrame:
-    documents = t.star.spread("documents").select(
+    documents = t.star.scan("documents").select(
         F.concat(F.lit("D"), "doc_id").alias("source_id"), "text"
     )
     tickets = t["feedback"].select(F.col("feedback_id").alias("source_id"), "text")
@@ -792,9 +794,12 @@ _MODELS: dict[tuple, object] = {}
 
 
 def _fitted(t: DomainTables, kind: str, fit: Callable[[], object]):
-    """Each model is trained once per session and folder."""
-    key = (t.spark.sparkContext.applicationId, t.star.sf_dir, kind)
+    """Each model is trained once per state of the input; a newer state replaces an older one."""
+    place = (t.spark.sparkContext.applicationId, t.star.sf_dir)
+    key = (*place, kind, t.input_state())
     if key not in _MODELS:
+        for old in [k_ for k_ in _MODELS if k_[:2] == place and k_[3] != key[3]]:
+            del _MODELS[old]
         _MODELS[key] = fit()
     return _MODELS[key]
 
@@ -881,18 +886,30 @@ def risk_tiers_model(t: DomainTables) -> DataFrame:
     return churn.risk_tiers(models.predict_churn(_churn_rows(t), churn_model(t)))
 
 
+def _valid_requests(t: DomainTables) -> DataFrame:
+    return transforms.validate_merchant_input(t["merchants"]).where("is_valid")
+
+
+def _with_status(response: DataFrame, scored: DataFrame) -> DataFrame:
+    status = scored.select(F.col("merchant_id").alias("_merchant"), "status")
+    return response.join(status, F.col("merchant_id") == F.col("_merchant")).drop("_merchant")
+
+
 @query("score_pricing_model")
 def score_pricing_model(t: DomainTables) -> DataFrame:
-    valid = transforms.validate_merchant_input(t["merchants"]).where("is_valid")
-    predicted = models.predict_rate(valid, pricing_model(t))
-    return scoring.score_pricing(predicted, F.col("recommended_rate"))
+    training = models.pricing_training(t["merchants"], t["transactions"])
+    requests = models.with_activity(_valid_requests(t), training)
+    predicted = models.predict_rate(requests, pricing_model(t))
+    rate = F.when(F.col("status") == "scored", F.col("recommended_rate"))
+    return _with_status(scoring.score_pricing(predicted, rate), requests)
 
 
 @query("score_churn_model")
 def score_churn_model(t: DomainTables) -> DataFrame:
-    valid = transforms.validate_merchant_input(t["merchants"]).where("is_valid")
-    predicted = models.predict_churn(valid, churn_model(t))
-    return scoring.score_churn(predicted, F.col("churn_probability"))
+    requests = models.with_activity(_valid_requests(t), _churn_rows(t))
+    predicted = models.predict_churn(requests, churn_model(t))
+    probability = F.when(F.col("status") == "scored", F.col("churn_probability"))
+    return _with_status(scoring.score_churn(predicted, probability), requests)
 
 
 @query("model_save_load")

@@ -77,10 +77,12 @@ USER_COLUMNS = {
     "has_verified_phone": "c_custkey % 5 <> 4",
 }
 
-# Silent merchants have no rows; quiet ones stop in March 2001.
-TRANSACTION_FILTER = (
-    "l_suppkey % 10 <> 7 and "
-    "not (l_suppkey % 10 = 9 and o_orderdate >= timestamp '2001-03-01 00:00:00')"
+# Merchants ending in 7 are silent and those ending in 9 go quiet in March 2001: their lines belong
+# to the merchant before them, so every order line stays a transaction.
+TRANSACTION_SUPPLIER = (
+    "case when l_suppkey % 10 = 7 or "
+    "(l_suppkey % 10 = 9 and o_orderdate >= timestamp '2001-03-01 00:00:00') "
+    "then l_suppkey - 1 else l_suppkey end"
 )
 _STATUS_KEY = "(l_orderkey * 31 + l_linenumber * 17 + l_partkey) % 100"
 TRANSACTION_BASE = {
@@ -97,9 +99,9 @@ TRANSACTION_BASE = {
     "month": "cast(month(o_orderdate) as int)",
     "year": "cast(year(o_orderdate) as int)",
     "amount_usd": (
-        "cast(least(1000000, greatest(100, cast(floor(l_extendedprice * 100 / "
+        "cast(cast(floor(l_extendedprice * 100 / "
         "(case l_orderkey % 6 when 0 then 5000 when 1 then 1500 when 2 then 500 "
-        "when 3 then 100 when 4 then 40 else 10 end)) as bigint))) * 0.01 as decimal(18,2))"
+        "when 3 then 100 when 4 then 40 else 10 end)) as bigint) * 0.01 as decimal(18,2))"
     ),
     "is_cross_border": (
         "m.cross_border_enabled and m.country <> u.country and l_partkey % 10 < 3"
@@ -131,40 +133,26 @@ TRANSACTION_FEES = {
 }
 NET_AMOUNT = "cast(amount_usd - total_fee_usd as decimal(18,2))"
 
+# Feedback is the text of documents, whole; labels exist for some of them.
 FEEDBACK_COLUMNS = {
-    "feedback_id": "concat('FB', lpad(cast(event_id as string), 9, '0'))",
+    "feedback_id": "concat('FB', lpad(cast(d.doc_id as string), 9, '0'))",
     "merchant_id": (
-        "concat('M', lpad(cast(event_id % (select count(*) from supplier) as string), 12, '0'))"
-    ),
-    "timestamp": "cast(ts as date)",
-    "text": (
-        "concat(case event_id % 10 "
-        "when 0 then 'Great experience with the checkout process, very smooth and fast' "
-        "when 1 then 'API integration was helpful and easy' "
-        "when 2 then 'Funds were held for too long and the dispute is slow' "
-        "when 3 then 'Fee and rate are expensive' "
-        "when 4 then 'Need clarification on the account verification limit' "
-        "when 5 then 'General question about the roadmap' "
-        "when 6 then 'Urgent: fraud chargeback, terrible support' "
-        "when 7 then 'Dashboard report feature is excellent' "
-        "when 8 then 'The webhook error is a problem but support was helpful' "
-        "else 'Overcharged! refund my invoice, bad billing' end, "
-        "case when event_id % 3 = 0 then "
-        "concat(' Reference: TKT', cast(10000 + event_id % 90000 as string)) else '' end)"
+        "concat('M', lpad(cast(d.doc_id % (select count(*) from supplier) as string), 12, '0'))"
     ),
+    "timestamp": "cast(date '2001-01-01' + cast(d.doc_id % 210 as int) as date)",
+    "text": "d.text",
     "sentiment_label": (
-        "case when event_id % 10 in (0, 1, 7) then 'positive' "
-        "when event_id % 10 in (2, 3, 6, 9) then 'negative' else 'neutral' end"
+        "case when l.toxic = 1 or l.quality = 0 then 'negative' when l.quality = 1 then 'positive' end"
     ),
     "category": (
-        "case event_type when 'error' then 'technical' when 'purchase' then 'billing' "
-        "when 'signup' then 'account' when 'click' then 'features' else 'general' end"
+        "case ascii(substr(d.source, length(d.source), 1)) % 5 when 0 then 'technical' "
+        "when 1 then 'billing' when 2 then 'account' when 3 then 'features' else 'general' end"
     ),
     "priority": (
-        "case event_id % 7 when 0 then 'high' when 1 then 'medium' when 2 then 'medium' "
+        "case d.n_chars % 7 when 0 then 'high' when 1 then 'medium' when 2 then 'medium' "
         "else 'low' end"
     ),
-    "resolved": "event_id % 4 <> 0",
+    "resolved": "d.doc_id % 4 <> 0",
 }
 
 EXPERIMENT_KEYS = {
@@ -205,19 +193,15 @@ class StarTables:
     def __getitem__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-    def spread(self, name: str) -> DataFrame:
-        """The table with at least one task per core, for work that is heavy per row.
-
-        Spark cuts files into total / cores bytes, but not below 4 MB, so fewer splits than
-        cores means less than 4 MB per core: only such a small table is redistributed, and
-        a large one is read as it is.
-        """
-        df = self[name]
-        cores = self.spark.sparkContext.defaultParallelism
-        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    def scan(self, name: str) -> DataFrame:
+        """The table for work that is heavy per row; the session's ``spark.tillwise.scanTasks``,
+        if set, deals its rows over that many tasks (for files of few row groups)."""
+        tasks = self.spark.conf.get("spark.tillwise.scanTasks", None)
+        return self[name].repartition(int(tasks)) if tasks else self[name]
 
 
-def derive_merchants(star: StarTables) -> DataFrame:
+def derive_merchants(star: StarTables, *, key: str | None = None) -> DataFrame:
+    """The merchants; ``key`` keeps the named key column for a join."""
     # nation and region have a fixed 25 and 5 rows, so their broadcast size is known.
     places = star["nation"].join(
         F.broadcast(star["region"]), F.col("n_regionkey") == F.col("r_regionkey")
@@ -226,48 +210,47 @@ def derive_merchants(star: StarTables) -> DataFrame:
         star["supplier"]
         .join(F.broadcast(places), F.col("s_nationkey") == F.col("n_nationkey"))
         .withColumn("mv", F.expr(MONTHLY_VOLUME))
-        .selectExpr(*_exprs(MERCHANT_COLUMNS))
+        .selectExpr(*_exprs(MERCHANT_COLUMNS), *([key] if key else []))
     )
 
 
-def derive_users(star: StarTables) -> DataFrame:
+def derive_users(star: StarTables, *, key: str | None = None) -> DataFrame:
+    """The users; ``key`` keeps the named key column for a join."""
     places = star["nation"].join(
         F.broadcast(star["region"]), F.col("n_regionkey") == F.col("r_regionkey")
     )
     return (
         star["customer"]
         .join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"))
-        .selectExpr(*_exprs(USER_COLUMNS))
+        .selectExpr(*_exprs(USER_COLUMNS), *([key] if key else []))
     )
 
 
-def derive_transactions(star: StarTables, merchants: DataFrame, users: DataFrame) -> DataFrame:
+def derive_transactions(star: StarTables) -> DataFrame:
     """One row per order line.
 
-    Users meet the orders first, so the wide order lines are shuffled for two joins instead of
-    three. No side is broadcast by hint: merchants and users grow with the data, so the
-    planner decides from their size, and a hot merchant or user is split by the skew-join
-    rule.
+    Customers meet the orders first, so the wide order lines are shuffled for two joins instead of
+    three. All joins are on integer keys; ids are built in the projection. No side is broadcast by
+    hint: merchants and users grow with the data, so the planner decides from their size, and a
+    hot merchant or user is split by the skew-join rule.
     """
+    users = derive_users(star, key="c_custkey")
     orders = (
-        star.spread("orders")
-        .join(
-            users.alias("u"),
-            F.expr("u.user_id = concat('U', lpad(cast(o_custkey as string), 12, '0'))"),
-        )
+        star.scan("orders")
+        .join(users, F.col("o_custkey") == F.col("c_custkey"))
         .select(
             "o_orderkey", "o_orderdate",
-            *[F.col(f"u.{c}").alias(f"u_{c}") for c in ("user_id", "country", "preferred_payment")],
+            *[F.col(c).alias(f"u_{c}") for c in ("user_id", "country", "preferred_payment")],
         )
     )
     columns = {name: e.replace("u.", "u_") for name, e in TRANSACTION_BASE.items()}
     base = (
-        star.spread("lineitem")
+        star.scan("lineitem")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .where(TRANSACTION_FILTER)
+        .withColumn("supplier", F.expr(TRANSACTION_SUPPLIER))
         .join(
-            merchants.alias("m"),
-            F.expr("m.merchant_id = concat('M', lpad(cast(l_suppkey as string), 12, '0'))"),
+            derive_merchants(star, key="s_suppkey").alias("m"),
+            F.col("supplier") == F.col("s_suppkey"),
         )
         .selectExpr(*_exprs(columns))
     )
@@ -282,7 +265,10 @@ def derive_feedback(star: StarTables) -> DataFrame:
         for name, expression in FEEDBACK_COLUMNS.items()
     }
     return (
-        star.spread("events").withColumn("n_suppliers", suppliers).selectExpr(*_exprs(columns))
+        star.scan("documents").alias("d")
+        .join(star["labels"].alias("l"), F.expr("d.doc_id = l.doc_id"), "left")
+        .withColumn("n_suppliers", suppliers)
+        .selectExpr(*_exprs(columns))
     )
 
 
@@ -352,9 +338,7 @@ class DomainTables(Mapping[str, DataFrame]):
         if name == "users":
             return derive_users(self.star)
         if name == "transactions":
-            return derive_transactions(
-                self.star, derive_merchants(self.star), derive_users(self.star)
-            )
+            return derive_transactions(self.star)
         if name == "feedback":
             return derive_feedback(self.star)
         return derive_experiments(self.star)
@@ -364,12 +348,12 @@ class DomainTables(Mapping[str, DataFrame]):
         """Lands every table again on its next use; written folders are left alone."""
         cls._landed.clear()
 
-    def _input_state(self) -> str:
+    def input_state(self) -> str:
         """Newest change, size and file count of the inputs, so changed input lands anew."""
         jvm = self.spark._jvm
         conf = self.spark._jsc.hadoopConfiguration()
         state = []
-        for name in ("supplier", "customer", "part", "orders", "lineitem", "nation", "region"):
+        for name in ("supplier", "customer", "part", "orders", "lineitem", "nation", "region", "documents", "labels"):
             path = jvm.org.apache.hadoop.fs.Path(self.star.path(name))
             fs = path.getFileSystem(conf)
             total = fs.getContentSummary(path)
@@ -381,7 +365,7 @@ class DomainTables(Mapping[str, DataFrame]):
         return "-".join(str(v) for v in state)
 
     def _land(self, name: str) -> str:
-        key = (self.spark.sparkContext.applicationId, self.star.sf_dir, self._input_state(), name)
+        key = (self.spark.sparkContext.applicationId, self.star.sf_dir, self.input_state(), name)
         if key not in self._landed:
             target = run_dir(self.spark, "landed", f"{name}-{uuid.uuid4().hex[:8]}")
             df = self.derive(name)

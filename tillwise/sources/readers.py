@@ -4,38 +4,83 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tillwise.schemas import TABLES, schema_of
 
 FORMATS = ("parquet", "csv", "json")
 
 
-def read_table(spark: SparkSession, path: str, table: str, fmt: str = "csv") -> DataFrame:
-    """One table from a file or folder; malformed CSV or JSON rows fail instead of vanishing."""
+NEWLINES = ("none", "escaped", "quoted")
+
+
+def read_table(
+    spark: SparkSession, path: str, table: str, fmt: str = "csv", newlines: str = "none"
+) -> DataFrame:
+    """One table from a file or folder; malformed CSV or JSON rows fail instead of vanishing.
+
+    CSV text holds no line breaks (``none``), has them as ``\\n`` the way ``write_table`` escapes
+    them (``escaped``), or raw inside quotes (``quoted``). Only the last keeps Spark from splitting
+    a file over tasks.
+    """
     if fmt not in FORMATS:
         raise ValueError(f"unknown format {fmt!r}; known: {FORMATS}")
+    if newlines not in NEWLINES:
+        raise ValueError(f"unknown newlines {newlines!r}; known: {NEWLINES}")
     reader = spark.read.schema(schema_of(table))
     if fmt == "csv":
-        # Quotes inside quoted text are doubled, and text may span lines.
-        reader = reader.options(header=True, mode="FAILFAST", escape='"', multiLine=table == "feedback")
+        # Quotes inside quoted text are doubled.
+        reader = reader.options(header=True, mode="FAILFAST", escape='"', multiLine=newlines == "quoted")
     elif fmt == "json":
         reader = reader.option("mode", "FAILFAST")
-    return reader.format(fmt).load(path)
+    df = reader.format(fmt).load(path)
+    return unescape_lines(df) if fmt == "csv" and newlines == "escaped" else df
+
+
+def unescape_lines(df: DataFrame) -> DataFrame:
+    """Undoes ``sinks.escape_lines``: splits at doubled backslashes, so none is read twice."""
+
+    def plain(column: str) -> Column:
+        parts = F.transform(
+            F.split(F.col(column), r"\\\\"),
+            lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")),
+        )
+        return F.array_join(parts, "\\")
+
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    return df.withColumns({c: plain(c) for c in text})
 
 
 def load_all_tables(
-    spark: SparkSession, folder: str, fmt: str = "csv", names: Iterable[str] = tuple(TABLES)
+    spark: SparkSession,
+    folder: str,
+    fmt: str = "csv",
+    names: Iterable[str] = tuple(TABLES),
+    newlines: str = "none",
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Registers ``<folder>/<table>.<fmt>`` as views; also returns one row count per table."""
+    """Registers ``<folder>/<table>.<fmt>`` as views; also returns one row count per table.
+
+    Tables that the folder does not hold are left out.
+    """
     tables = {}
     for name in names:
-        tables[name] = read_table(spark, f"{folder.rstrip('/')}/{name}.{fmt}", name, fmt)
+        path = f"{folder.rstrip('/')}/{name}.{fmt}"
+        if not path_exists(spark, path):
+            continue
+        tables[name] = read_table(spark, path, name, fmt, newlines)
         tables[name].createOrReplaceTempView(name)
+    if not tables:
+        raise FileNotFoundError(f"no known table in {folder}")
     return tables, row_counts(tables)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows per table as one DataFrame."""
     counts = [

@@ -7,21 +7,43 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructType
 
 from tillwise.plans.catalog import CATALOG, query_catalog, run_query
 
 WRITE_MODES = {"replace": "overwrite", "append": "append", "fail": "errorifexists"}
 
 
-def write_table(df: DataFrame, path: str, if_exists: str = "replace", fmt: str = "parquet") -> int:
-    """Writes a table and returns the rows written, counted during the write itself."""
+def escape_lines(df: DataFrame) -> DataFrame:
+    """Line breaks in text as ``\\n`` and ``\\r`` (backslashes doubled), so a CSV row is one line."""
+
+    def one_line(column: str) -> Column:
+        out = F.col(column)
+        for raw, escaped in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+            out = F.replace(out, F.lit(raw), F.lit(escaped))
+        return out
+
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    return df.withColumns({c: one_line(c) for c in text})
+
+
+def write_table(
+    df: DataFrame, path: str, if_exists: str = "replace", fmt: str = "parquet", escape: bool = False
+) -> int:
+    """Writes a table and returns the rows written, counted during the write itself.
+
+    ``escape`` writes line breaks in CSV text the way ``read_table(newlines="escaped")`` reads them.
+    """
     if if_exists not in WRITE_MODES:
         raise ValueError(f"if_exists must be one of {list(WRITE_MODES)}")
     seen = Observation()
+    if fmt == "csv" and escape:
+        df = escape_lines(df)
     writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write
     if fmt == "csv":
-        writer = writer.options(header=True, escape='"')
+        writer = writer.options(
+            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        )
     writer.mode(WRITE_MODES[if_exists]).format(fmt).save(path)
     return seen.get["rows"]
 
@@ -195,6 +217,6 @@ def run_metadata(
 
 
 def write_json(df: DataFrame, path: str) -> str:
-    """Small results (reports, metadata, dictionaries) as one JSON file in a folder."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    """Reports, metadata and dictionaries as a folder of JSON lines, in the frame's partitions."""
+    df.write.mode("overwrite").json(path)
     return path
