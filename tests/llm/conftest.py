@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import re
 import sys
 from pathlib import Path
 
@@ -9,8 +8,8 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-SMALL = "/root/testdata/sf0.001"
-WORDS = re.compile("[^\x20\x09-\x0d]+")
+from plain import SMALL  # noqa: E402
+
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, size long, _x string"
 
 

@@ -13,7 +13,7 @@ import public_tokenizers
 import pytest
 import xxhash
 from compare import difference, duck
-from conftest import SMALL, WORDS
+from plain import SMALL, WORDS
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
