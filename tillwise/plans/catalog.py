@@ -43,7 +43,7 @@ _QUERIES = [
     NamedQuery(
         "monthly_volume",
         "monthly_transaction_volume",
-        "Monthly aggregated transaction metrics for executive dashboards",
+        "How many transactions, how much volume and how many fees each month brought",
         """
 SELECT date_format(trunc(date, 'MM'), 'yyyy-MM') AS month,
        count(*) AS total_transactions,
@@ -63,7 +63,7 @@ ORDER BY month DESC""",
     NamedQuery(
         "merchant_scorecard",
         "merchant_performance_scorecard",
-        "360-degree view of merchant performance for account management",
+        "Everything known about each merchant in one row: activity, fees, risk",
         """
 WITH activity AS (
   SELECT merchant_id,
@@ -99,7 +99,7 @@ ORDER BY total_volume_usd DESC, m.merchant_id""",
     NamedQuery(
         "pricing_tier",
         "pricing_tier_analysis",
-        "Revenue and behavior metrics segmented by pricing tier",
+        "What merchants of each pricing tier earn, pay and do",
         """
 WITH activity AS (
   SELECT merchant_id, count(*) AS n, sum(amount_usd) AS volume,
@@ -127,7 +127,7 @@ ORDER BY total_fees_collected DESC, m.pricing_tier""",
     NamedQuery(
         "cross_border",
         "cross_border_flow_analysis",
-        "Top cross-border transaction corridors by volume",
+        "Pairs of countries by the volume that flows between them",
         """
 SELECT merchant_country AS origin_country,
        user_country AS destination_country,
@@ -148,7 +148,7 @@ LIMIT 50""",
     NamedQuery(
         "hourly_pattern",
         "hourly_transaction_pattern",
-        "Transaction distribution by hour and day for capacity planning",
+        "Load by weekday and hour",
         # The window runs over the grouped cells: at most 24 hours x 7 days.
         """
 WITH cells AS (
@@ -170,7 +170,7 @@ ORDER BY day_of_week, hour""",
     NamedQuery(
         "category_performance",
         "category_performance",
-        "Performance metrics by business vertical",
+        "Volume, fees and success by merchant category",
         f"""
 WITH activity AS (
   SELECT merchant_id, count(*) AS n, sum(amount_usd) AS volume, sum(total_fee_usd) AS fees,
@@ -205,7 +205,7 @@ ORDER BY total_volume_usd DESC, business_category""",
     NamedQuery(
         "churn_risk",
         "churn_risk_cohort",
-        "High-risk merchants ranked by revenue at risk",
+        "Merchants likely to leave, largest endangered revenue first",
         f"""
 WITH recent AS (
   SELECT merchant_id, max(date) AS last_day, count(*) AS n, sum(amount_usd) AS volume
@@ -234,7 +234,7 @@ LIMIT 1000""",
     NamedQuery(
         "platform_performance",
         "platform_performance",
-        "Transaction metrics segmented by platform/channel",
+        "Volume and success by platform",
         """
 SELECT platform,
        count(*) AS total_transactions,
@@ -253,7 +253,7 @@ ORDER BY total_volume DESC, platform""",
     NamedQuery(
         "fee_optimization",
         "fee_optimization_analysis",
-        "Fee structure analysis by amount bracket for pricing optimization",
+        "Effective fee rates by amount bracket and tier",
         # Per-row rates are fixed-point, so their averages do not depend on row order.
         f"""
 WITH rated AS (

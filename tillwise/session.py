@@ -24,19 +24,22 @@ def shuffle_partitions_for(input_bytes: int, cores: int, target_bytes: int = 128
 
 
 def build_session(app_name: str = "tillwise", master: str | None = None, **conf: str) -> SparkSession:
+    """A session with the library's settings; on a cluster it needs ``spark.checkpoint.dir``."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     for key, value in {**BASE_CONF, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    shared_dir(spark)
+    return spark
 
 
-def shared_dir(spark: SparkSession) -> str | None:
+def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own; on a cluster
-    without one the answer is ``None`` and callers keep their lineage instead.
+    Only a local session (tests, one machine) without that setting gets a folder of its own; a
+    cluster without one is an error, as its executors share no other folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
@@ -44,8 +47,8 @@ def shared_dir(spark: SparkSession) -> str | None:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(configured)
         return configured.rstrip("/")
-    if not context.master.startswith("local"):
-        return None
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     own = getattr(context, "_tillwise_shared_dir", None)
     if own is None:
         own = tempfile.mkdtemp(prefix="run-tillwise-")
@@ -56,12 +59,10 @@ def shared_dir(spark: SparkSession) -> str | None:
 
 def run_dir(spark: SparkSession, *parts: str) -> str:
     """A path below the shared folder that belongs to this application only."""
-    base = shared_dir(spark)
-    if base is None:
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return "/".join([base, "tillwise", spark.sparkContext.applicationId, *parts])
+    return "/".join([shared_dir(spark), "tillwise", spark.sparkContext.applicationId, *parts])
 
 
 def cut_lineage(df):
-    """Checkpoint into the shared folder; without one the plan keeps its lineage."""
-    return df.checkpoint() if shared_dir(df.sparkSession) else df
+    """Checkpoint into the shared folder."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.schemas import schema_of
-from tillwise.session import run_dir, shared_dir
+from tillwise.session import run_dir
 
 # --- fixed values: derivation of the domain columns (Spark SQL) --------------
 MONTHLY_VOLUME = (
@@ -304,8 +304,8 @@ def derive_experiments(star: StarTables) -> DataFrame:
 class DomainTables(Mapping[str, DataFrame]):
     """The five domain tables of one folder, by name.
 
-    ``merchants``, ``transactions`` and ``pricing_experiments`` are landed on first use when
-    the session has a shared folder; ``users`` and ``feedback`` are cheap projections and
+    ``merchants``, ``transactions`` and ``pricing_experiments`` are landed on first use in the
+    shared folder; ``users`` and ``feedback`` are cheap projections and
     stay inline.
     """
 
@@ -313,10 +313,10 @@ class DomainTables(Mapping[str, DataFrame]):
     NAMES = ("merchants", "users", "transactions", "pricing_experiments", "feedback")
     _landed: dict[tuple[str, str, str, str], str] = {}
 
-    def __init__(self, spark: SparkSession, sf_dir: str, land: bool | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, land: bool = True):
         self.spark = spark
         self.star = StarTables(spark, sf_dir)
-        self.land = (shared_dir(spark) is not None) if land is None else land
+        self.land = land
 
     def __iter__(self):
         return iter(self.NAMES)
