@@ -47,24 +47,17 @@ def spans_of(text: Column, pattern: Column) -> Column:
     pieces, found = F.split(text, pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0))
 
     def step(acc: Column, i: Column) -> Column:
-        start = acc["at"] + F.length(F.get(pieces_of(acc), i))
-        end = start + F.length(F.get(found_of(acc), i))
+        value = F.get(acc["found"], i)
+        start = acc["at"] + F.length(F.get(acc["pieces"], i))
+        end = start + F.length(value)
+        span = F.struct(start.alias("start"), end.alias("end"), value.alias("value"))
         return F.struct(
             acc["pieces"].alias("pieces"),
             acc["found"].alias("found"),
             end.alias("at"),
-            F.array_append(
-                acc["out"],
-                F.struct(start.alias("start"), end.alias("end"), F.get(found_of(acc), i).alias("value")),
-            ).alias("out"),
+            F.array_append(acc["out"], span).alias("out"),
         )
 
-    def pieces_of(acc: Column) -> Column:
-        return acc["pieces"]
-
-    def found_of(acc: Column) -> Column:
-        return acc["found"]
-
     # Both arrays travel in the accumulator, so each is computed once.
     both = F.array(F.struct(pieces.alias("pieces"), found.alias("found")))
     located = F.transform(
@@ -288,16 +281,18 @@ def sanitise(docs: DataFrame, terms: DataFrame, **how) -> DataFrame:
         ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))),
         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
     )
-    spans = F.size(named)
-    new_text = F.when(spans > 0, cleaned).otherwise(text)
-    out = marked.withColumn("_clean", new_text)
-    columns = [
-        F.col("_clean").alias("text") if c == "text"
-        else F.when(F.col("_clean").eqNullSafe(F.col("text")), F.col(c)).otherwise(F.length("_clean").cast(docs.schema[c].dataType)).alias(c) if c == "n_chars"
-        else F.col(c)
-        for c in docs.columns
-    ]
-    return out.select(*columns)
+    out = marked.withColumn("_clean", F.when(F.size(named) > 0, cleaned).otherwise(text))
+
+    def column(name: str) -> Column:
+        if name == "text":
+            return F.col("_clean").alias(name)
+        if name == "n_chars":
+            length = F.length("_clean").cast(docs.schema[name].dataType)
+            same = F.col("_clean").eqNullSafe(text)
+            return F.when(same, F.col(name)).otherwise(length).alias(name)
+        return F.col(name)
+
+    return out.select(*map(column, docs.columns))
 
 
 def op6_privacy(spark, sf_dir: str) -> DataFrame:
