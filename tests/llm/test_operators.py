@@ -195,7 +195,9 @@ def test_packing(spark, odd, nothing, corpus):
         for i, text in rows:
             ids_of[i].append(np.array(library.encode(text or "", add_special_tokens=False).ids + [1], "<u4"))
         frame = spark.createDataFrame(rows, "doc_id long, text string")
-        n = check_packing(packing.digest(packing.pack_documents(frame, path)).collect(), ids_of)
+        n = check_packing(packing.packed_digest(frame, path).collect(), ids_of)
+        whole = packing.pack_documents(frame, path).select("*", F.crc32("ids").alias("ids_crc32"))
+        assert check_packing(whole.collect(), ids_of) == n
         if len(rows) > 100:
             total = sum(len(x) for copies in ids_of.values() for x in copies)
             assert total / 2048 / n > 0.95

@@ -166,7 +166,7 @@ def pack(pieces: DataFrame, length: int = SEQUENCE_LENGTH, grain: int = GRAIN) -
     """Add ``sequence_id`` and ``offset`` to pieces of at most ``length`` tokens.
 
     ``pieces`` is read several times and should be a written table; pieces are told apart by
-    ``doc_id`` and ``start``, ties among rows equal in both by ``ids``. Full pieces are sequences
+    ``doc_id`` and ``start``; rows equal in both and in length may change places. Full pieces are sequences
     of their own, after the packed ones. Ranks within a class come from salted counts, so a length
     shared by a third of all documents spreads over all tasks.
     """
@@ -230,23 +230,29 @@ def pack(pieces: DataFrame, length: int = SEQUENCE_LENGTH, grain: int = GRAIN) -
     )
 
 
-def pack_documents(
-    docs: DataFrame,
-    tokenizer: str,
-    end_id: int = END_ID,
-    length: int = SEQUENCE_LENGTH,
-    grain: int = GRAIN,
+def tokenized_pieces(
+    docs: DataFrame, tokenizer: str, end_id: int = END_ID, length: int = SEQUENCE_LENGTH
 ) -> DataFrame:
-    """Pieces of all ``docs`` with their ids, sequence and offset. Tokenized once, into a table."""
-    return pack(stage(cut_pieces(docs, tokenizer, end_id, length), "pieces"), length, grain)
+    """The pieces of all ``docs`` with their ids, as a written table: texts are tokenized once."""
+    return stage(cut_pieces(docs, tokenizer, end_id, length), "pieces")
 
 
-def digest(packed: DataFrame) -> DataFrame:
-    return packed.select(
+def pack_documents(docs: DataFrame, tokenizer: str, grain: int = GRAIN, **how) -> DataFrame:
+    """Pieces of all ``docs`` with their ids, sequence and offset."""
+    return pack(tokenized_pieces(docs, tokenizer, **how), how.get("length", SEQUENCE_LENGTH), grain)
+
+
+def packed_digest(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """Where each piece went, with a checksum of its ids in place of them: ids are summed as they
+    are read, so only narrow rows are shuffled."""
+    pieces = tokenized_pieces(docs, tokenizer).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"
+    )
+    return pack(pieces).select(
         "doc_id",
         "start",
         F.col("length").cast("long").alias("length"),
-        F.crc32("ids").alias("ids_crc32"),
+        "ids_crc32",
         "doc_tokens",
         "sequence_id",
         "offset",
@@ -257,4 +263,4 @@ def op8_packing(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return digest(pack_documents(docs, public_tokenizers.path("word_bpe_49k.json")))
+    return packed_digest(docs, public_tokenizers.path("word_bpe_49k.json"))
