@@ -43,6 +43,7 @@ def main() -> None:
         f"local[{cpus}]",
         **{
             "spark.sql.shuffle.partitions": cpus,
+            "spark.tillwise.scanTasks": cpus,  # the test tables have one row group each
             "spark.ui.enabled": "false",
             "spark.driver.memory": "16g",
         },
