@@ -194,7 +194,13 @@ def near_duplicates(marked: DataFrame, limit: int = MAX_BITS, crowd: int = CROWD
     """
     rows = stage(marked.select("doc_id", "fp"), "fingerprints")
     nodes = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    roots = connected_components(link_fingerprints(nodes.select("fp"), limit, crowd))
+    return with_component(rows, nodes, link_fingerprints(nodes.select("fp"), limit, crowd))
+
+
+def with_component(rows: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``rows`` (``doc_id``, ``fp``) with ``component_id`` and ``root`` of the graph of ``edges`` over
+    ``nodes`` (``fp``, ``least`` doc_id)."""
+    roots = connected_components(edges)
     rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left").select(
         F.col("fp").alias("node_fp"), "least", F.coalesce("root", "fp").alias("root")
     )
@@ -211,7 +217,11 @@ def drop_near_duplicates(docs: DataFrame, **how) -> DataFrame:
     Rows that repeat with equal id and fingerprint count as one document. Columns are kept.
     """
     marked = with_fingerprint(docs, name="_fp")
-    found = near_duplicates(marked.select("doc_id", F.col("_fp").alias("fp")), **how)
+    return keep_least(docs, marked, near_duplicates(marked.select("doc_id", F.col("_fp").alias("fp")), **how))
+
+
+def keep_least(docs: DataFrame, marked: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``marked`` (``docs`` with ``_fp``) that stand for their component in ``found``."""
     keepers = (
         found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("root")
