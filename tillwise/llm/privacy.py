@@ -3,8 +3,10 @@
 A protected entity c is the value of a pattern match. A term t near it discloses it when the
 pointwise mutual information PMI(c; t) = log p(c, t) / (p(c) p(t)) comes close to all the information
 IC(c) = -log p(c) that c has. Probabilities are estimated over the whole corpus: pairs and entities
-from distinct contexts (copies of a document are one context), terms from all documents. Terms at or
-above ``GENERALISE`` times IC are replaced by a placeholder, at or above ``REMOVE`` times IC removed.
+from distinct contexts (copies of a document are one context), terms from all documents. The count of
+a pair is lowered by ``DISCOUNT``: a term met with an entity once stands for p(c | t) = 1/2 at most, so
+an entity that occurs once has disclosing terms too, and common words stay. Terms at or above
+``GENERALISE`` times IC are replaced by a placeholder, at or above ``REMOVE`` times IC removed.
 
 Everything is a column expression or a join; there is no Python code on the executors.
 """
@@ -29,8 +31,8 @@ KINDS = ("email", "ip", "card", "phone", "term")
 TERM = r"\p{L}{3,}"
 #: Code points on either side of an entity in which its terms are looked for.
 CONTEXT = 60
-#: Distinct contexts that a pair needs before its probability means anything.
-SUPPORT = 3
+#: Continuity correction of the count of a pair.
+DISCOUNT = 0.5
 GENERALISE, REMOVE = 0.8, 0.95
 #: Up to so many disclosing terms travel with the plan; more are joined.
 TERMS_IN_PLAN = 2_000
@@ -131,7 +133,7 @@ def _terms(text: Column) -> Column:
 
 
 def disclosing_terms(
-    docs: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE
+    docs: DataFrame, discount: float = DISCOUNT, generalise: float = GENERALISE, remove: float = REMOVE
 ) -> DataFrame:
     """``term``, ``strength`` (largest PMI / IC over entities) and ``action`` of disclosing terms."""
 
@@ -165,9 +167,8 @@ def disclosing_terms(
         contexts.select("entity", F.explode("terms").alias("term"))
         .groupBy("entity", "term")
         .agg(F.count("*").alias("n_pair"))
-        .where(F.col("n_pair") >= support)
     )
-    pairs = cut_lineage(pairs.join(entity_counts, "entity"))
+    pairs = cut_lineage(pairs.join(entity_counts, "entity").select("term", "n_pair", "n_entity").distinct())
     # Documents that have the term, and all documents. Counts fold before they meet the pairs.
     term_counts = (
         docs.select(F.explode(_terms(F.coalesce("text", F.lit("")))).alias("term"))
@@ -175,7 +176,7 @@ def disclosing_terms(
         .agg(F.count("*").alias("n_term"))
     )
     n = float(max(docs.count(), 1))
-    pmi = F.log2(F.col("n_pair") * n / (F.col("n_entity") * F.col("n_term")))
+    pmi = F.log2((F.col("n_pair") - discount) * n / (F.col("n_entity") * F.col("n_term")))
     information = -F.log2(F.col("n_entity") / n)
     return (
         pairs.join(term_counts, "term")
