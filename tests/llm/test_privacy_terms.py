@@ -14,7 +14,7 @@ def actions(docs):
     return {r.term: r.action for r in privacy.disclosing_terms(docs).collect()}
 
 
-@pytest.mark.parametrize("seen", [1])
+@pytest.mark.parametrize("seen", [1, 2])
 def test_rare_entities_have_terms(spark, seen):
     rows, names = [], set()
     values = ["{}@corp.example.com", "+1 (743) 555-38{:02d}", "10.1.2.{}", "4111 1111 1111 1111"]
@@ -31,3 +31,13 @@ def test_rare_entities_have_terms(spark, seen):
     clean = [r.text for r in privacy.sanitise(docs, privacy.disclosing_terms(docs)).orderBy("doc_id").collect()]
     assert not any(name in t for t in clean for name in names)
     assert clean[-400:] == rows[-400:]
+
+
+def test_copies_change_nothing(spark):
+    rows = [f"note {n} asks Zorblat via zq@corp.example.com about the matter {w} today" for n, w in enumerate("abcde")]
+    rows += [f"{COMMON} number {n}" for n in range(300)]
+    docs = spark.createDataFrame(list(enumerate(rows)), SCHEMA)
+    copied = spark.createDataFrame(list(enumerate(rows + rows[:1] * 1000 + rows[7:8] * 500)), SCHEMA)
+    before = actions(docs)
+    assert before["zorblat"] == "remove"
+    assert actions(copied) == before

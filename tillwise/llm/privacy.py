@@ -2,11 +2,11 @@
 
 A protected entity c is the value of a pattern match. A term t near it discloses it when the
 pointwise mutual information PMI(c; t) = log p(c, t) / (p(c) p(t)) comes close to all the information
-IC(c) = -log p(c) that c has. Probabilities are estimated over the whole corpus: pairs and entities
-from distinct contexts (copies of a document are one context), terms from all documents. The count of
-a pair is lowered by ``DISCOUNT``: a term met with an entity once stands for p(c | t) = 1/2 at most, so
-an entity that occurs once has disclosing terms too, and common words stay. Terms at or above
-``GENERALISE`` times IC are replaced by a placeholder, at or above ``REMOVE`` times IC removed.
+IC(c) = -log p(c) that c has. All probabilities are shares of the distinct texts of the corpus, so
+copies of a document change nothing. The count of a pair is lowered by ``DISCOUNT``: a term met with
+an entity once stands for p(c | t) = 1/2 at most, and the more texts have the term elsewhere, the
+weaker it is. So an entity that occurs once has disclosing terms too, and common words stay. Terms at
+or above ``GENERALISE`` times IC are replaced by a placeholder, at or above ``REMOVE`` times IC removed.
 
 Everything is a column expression or a join; there is no Python code on the executors.
 """
@@ -154,28 +154,33 @@ def disclosing_terms(
         F.when(F.length("text") > end + CONTEXT, r"\p{L}+$").otherwise("^$"),
         F.lit(""),
     )
-    contexts = (
-        entities.select(
-            F.concat_ws(":", "e.kind", F.lower("e.span.value")).alias("entity"),
-            F.array_sort(_terms(F.concat_ws(" ", left, right))).alias("terms"),
-        )
-        .distinct()
-    )
+    # A text is known by its hash here; copies give the same rows.
+    contexts = entities.select(
+        F.concat_ws(":", "e.kind", F.lower("e.span.value")).alias("entity"),
+        F.xxhash64("text").alias("of_text"),
+        F.array_sort(_terms(F.concat_ws(" ", left, right))).alias("terms"),
+    ).distinct()
     contexts = cut_lineage(contexts)
-    entity_counts = contexts.groupBy("entity").agg(F.count("*").alias("n_entity"))
+    entity_counts = (
+        contexts.select("entity", "of_text").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+    )
     pairs = (
-        contexts.select("entity", F.explode("terms").alias("term"))
+        contexts.select("entity", "of_text", F.explode("terms").alias("term"))
+        .distinct()
         .groupBy("entity", "term")
         .agg(F.count("*").alias("n_pair"))
     )
+    # Entities of equal counts are one row of a term, so common terms have few rows.
     pairs = cut_lineage(pairs.join(entity_counts, "entity").select("term", "n_pair", "n_entity").distinct())
-    # Documents that have the term, and all documents. Counts fold before they meet the pairs.
+    # Distinct texts that have the term, and all of them. Counts fold before they meet the pairs.
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
     term_counts = (
-        docs.select(F.explode(_terms(F.coalesce("text", F.lit("")))).alias("term"))
+        texts.distinct()
+        .select(F.explode(_terms(F.col("text"))).alias("term"))
         .groupBy("term")
         .agg(F.count("*").alias("n_term"))
     )
-    n = float(max(docs.count(), 1))
+    n = float(max(texts.select(F.xxhash64("text")).distinct().count(), 1))
     pmi = F.log2((F.col("n_pair") - discount) * n / (F.col("n_entity") * F.col("n_term")))
     information = -F.log2(F.col("n_entity") / n)
     return (
