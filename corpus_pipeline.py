@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillwise.llm.common import documents, stage
 from tillwise.llm.mixing import mix
-from tillwise.llm.near_copies import drop_near_copies
 from tillwise.llm.packing import packed_digest
 from tillwise.llm.privacy import disclosing_terms, sanitise
 from tillwise.llm.quality import fit_quality, with_score
+from tillwise.llm.simhash import drop_near_duplicates
 
 #: Documents below this probability of being good are rejected.
 LEAST_QUALITY = 0.5
@@ -28,24 +28,27 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, the one of smallest doc_id, of each group of documents linked by a
-    Jaccard similarity of 0.8 or more of their five-word shingles. Texts without words are copies of
-    each other."""
-    return drop_near_copies(docs)
+    """Keeps one document, the one of smallest doc_id, of each group linked by SimHash fingerprints of
+    three-word shingles that differ in at most three bits. Texts without words are copies of each
+    other, null and empty ones too; an empty table stays empty."""
+    return drop_near_duplicates(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data and the terms that disclose it; other texts stay as they are."""
+    """Replaces personal data and the terms that disclose it; other texts stay as they are, null and
+    empty ones too. An empty table stays empty."""
     return sanitise(docs, disclosing_terms(docs))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats or thins documents so that sources come to their target shares."""
+    """Repeats or thins documents so that sources come to their target shares. A null or empty text
+    weighs nothing; null is a source of its own; an empty table stays empty."""
     return mix(docs).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents (a repeated document gives its pieces repeatedly) in sequences."""
+    """Pieces of all documents (a repeated document gives its pieces repeatedly) in sequences. A null
+    or empty text is one piece with the end id alone; an empty table has no pieces."""
     return packed_digest(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
