@@ -5,6 +5,7 @@ from tillwise.llm.mixing import OP2_SQL, op2_mixing
 from tillwise.llm.packing import op8_packing
 from tillwise.llm.privacy import op6_privacy
 from tillwise.llm.quality import op4_quality
+from tillwise.llm.repair import op13_conversation_repair
 from tillwise.llm.sharding import op7_sharding
 from tillwise.llm.simhash import op5_simhash
 from tillwise.llm.substring import OP1_SQL, op1_substring_dedup
@@ -22,6 +23,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_exact_topk": op9_exact_topk,
     "op10_fingerprints": op10_fingerprints,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLES = {
