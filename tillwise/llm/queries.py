@@ -6,6 +6,7 @@ from tillwise.llm.packing import op8_packing
 from tillwise.llm.privacy import op6_privacy
 from tillwise.llm.quality import op4_quality
 from tillwise.llm.repair import op13_conversation_repair
+from tillwise.llm.resampling import op11_importance_resampling
 from tillwise.llm.sharding import op7_sharding
 from tillwise.llm.simhash import op5_simhash
 from tillwise.llm.substring import OP1_SQL, op1_substring_dedup
@@ -23,6 +24,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_exact_topk": op9_exact_topk,
     "op10_fingerprints": op10_fingerprints,
+    "op11_importance_resampling": op11_importance_resampling,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
