@@ -1,5 +1,6 @@
 """The registered query of each operator and the DuckDB SQL of those that SQL can express."""
 
+from tillwise.llm.extraction import op12_html_extraction
 from tillwise.llm.fingerprints import op10_fingerprints
 from tillwise.llm.mixing import OP2_SQL, op2_mixing
 from tillwise.llm.packing import op8_packing
@@ -25,6 +26,7 @@ QUERIES = {
     "op9_exact_topk": op9_exact_topk,
     "op10_fingerprints": op10_fingerprints,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_html_extraction": op12_html_extraction,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
