@@ -94,16 +94,18 @@ def _by_category(name: Column, values: dict[str, object]) -> Column:
     return result.otherwise(F.lit(values[k.FALLBACK_CATEGORY]))
 
 
-def routing(text: Column, category_name: Column, sentiment: Column) -> dict[str, Column]:
+def routing(
+    text: Column, category_name: Column, sentiment: Column, urgent: Column | None = None
+) -> dict[str, Column]:
     """Team, priority and SLA hours of a ticket.
 
-    Urgent means the raw lower-cased text contains one of the category's substrings. Urgent
-    and negative halves the SLA; neither doubles it.
+    Urgent means, unless it is given, that the raw lower-cased text contains one of the category's
+    substrings. Urgent and negative halves the SLA; neither doubles it.
     """
     lowered = F.lower(F.coalesce(text, F.lit("")))
-    urgent = F.lit(False)
+    known, urgent = urgent is not None, F.lit(False) if urgent is None else urgent
     for name, (_, words, _) in k.ROUTING_RULES.items():
-        if words:
+        if words and not known:
             hit = reduce(lambda a, b: a | b, [F.contains(lowered, F.lit(w)) for w in words])
             urgent = F.when(category_name == name, hit).otherwise(urgent)
     negative = sentiment == "negative"

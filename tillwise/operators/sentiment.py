@@ -4,19 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import (
-    IDF, CountVectorizer, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer, StopWordsRemover,
-    StringIndexer,
-)
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise import constants as k
 from tillwise.functions import text as tx
+from tillwise.operators import lexicon as lx
+from tillwise.operators import text_model as tm
 from tillwise.operators.splits import hash_bucket
 from tillwise.session import cut_lineage
 
@@ -33,8 +27,12 @@ def _with_words(df: DataFrame, text: str, strip_punct: bool) -> DataFrame:
 
 
 def extract_keywords(
-    df: DataFrame, text: str = "text", top_n: int = 5, strip_punct: bool = False
+    df: DataFrame, text: str = "text", top_n: int = 5, strip_punct: bool = False, lexicon: DataFrame | None = None
 ) -> DataFrame:
+    """Adds the keywords of each text; of ``lexicon`` if given, else of the business word lists."""
+    if lexicon is not None:
+        hit = lx.with_hits(df, lexicon, text, strip_punct)
+        return hit.withColumn("keywords", lx.keywords(F.col("_hits"), top_n)).drop("_hits")
     return (
         _with_words(df, text, strip_punct)
         .withColumn("keywords", tx.keywords(F.col("_words"), top_n))
@@ -42,7 +40,12 @@ def extract_keywords(
     )
 
 
-def detect_category(df: DataFrame, text: str = "text", strip_punct: bool = False) -> DataFrame:
+def detect_category(
+    df: DataFrame, text: str = "text", strip_punct: bool = False, lexicon: DataFrame | None = None
+) -> DataFrame:
+    if lexicon is not None:
+        hit = lx.with_hits(df, lexicon, text, strip_punct)
+        return hit.withColumn("detected_category", lx.category(F.col("_hits"))).drop("_hits")
     return (
         _with_words(df, text, strip_punct)
         .withColumn("detected_category", tx.category(F.col("_words")))
@@ -50,8 +53,19 @@ def detect_category(df: DataFrame, text: str = "text", strip_punct: bool = False
     )
 
 
-def sentiment_rules(df: DataFrame, text: str = "text", strip_punct: bool = False) -> DataFrame:
-    """Adds sentiment, confidence, keywords and detected category from the lexicons."""
+def sentiment_rules(
+    df: DataFrame, text: str = "text", strip_punct: bool = False, lexicon: DataFrame | None = None
+) -> DataFrame:
+    """Adds sentiment, confidence, keywords and detected category from the lexicons: the table
+    ``lexicon`` (which also adds whether a text is ``urgent``), or the business word lists."""
+    if lexicon is not None:
+        hits = F.col("_hits")
+        label, confidence = lx.sentiment(hits)
+        added = {
+            "sentiment": label, "confidence": confidence, "keywords": lx.keywords(hits),
+            "detected_category": lx.category(hits), "urgent": lx.is_urgent(hits),
+        }
+        return lx.with_hits(df, lexicon, text, strip_punct).withColumns(added).drop("_hits")
     words = F.col("_words")
     label, confidence = tx.rule_sentiment(words)
     return (
@@ -73,36 +87,19 @@ def sentiment_rules(df: DataFrame, text: str = "text", strip_punct: bool = False
 
 @dataclass
 class SentimentFit:
-    model: PipelineModel
+    model: tm.TextModel
     labels: list[str]
     metrics: DataFrame
     class_counts: DataFrame
 
 
-def _term_stages(min_df: float, vocab_size: int) -> list:
-    return [
-        # words of two or more word characters
-        RegexTokenizer(
-            inputCol="processed", outputCol="raw_words", pattern=r"\b\w\w+\b", gaps=False
-        ),
-        StopWordsRemover(
-            inputCol="raw_words", outputCol="words",
-            stopWords=StopWordsRemover.loadDefaultStopWords("english"),
-        ),
-        NGram(n=2, inputCol="words", outputCol="pairs"),
-        SQLTransformer(statement="SELECT *, concat(words, pairs) AS terms FROM __THIS__"),
-        CountVectorizer(inputCol="terms", outputCol="tf", minDF=min_df, vocabSize=vocab_size),
-        IDF(inputCol="tf", outputCol="idf_part"),
-    ]
-
-
 def fit_sentiment(
     feedback: DataFrame,
     text: str = "text",
     label: str = "sentiment_label",
     id_column: str = "feedback_id",
     test_percent: int = 20,
-    min_df: float = 2.0,
+    min_df: int = 2,
     vocab_size: int = 5000,
     max_iter: int = 100,
 ) -> SentimentFit:
@@ -111,39 +108,20 @@ def fit_sentiment(
     The split is a hash of the id, so it needs no shuffle and repeats exactly. Class weights
     are rows / (classes x class rows); there are as many classes as distinct labels.
     """
-    labelled = feedback.select(
-        id_column, F.col(label).alias("label_text"), tx.preprocess(F.col(text)).alias("processed")
-    ).where(F.col("label_text").isNotNull() & F.col("processed").isNotNull())
-    prepared = cut_lineage(
-        labelled.withColumn("is_test", hash_bucket(id_column, 100) < test_percent)
-    )
-    indexer = StringIndexer(
-        inputCol="label_text", outputCol="label", stringOrderType="alphabetAsc", handleInvalid="skip"
-    ).fit(prepared)
-    labels = list(indexer.labels)
-    indexed = indexer.transform(prepared)
-    train = indexed.where(~F.col("is_test"))
-    sizes = train.groupBy("label").agg(F.count("*").alias("class_rows"))
-    balance = sizes.agg((F.sum("class_rows") / F.count("*"))).scalar()
-    weights = sizes.select("label", (balance / F.col("class_rows")).alias("weight"))
-    # one row per label
-    train = train.join(F.broadcast(weights), "label")
-    terms = Pipeline(stages=_term_stages(min_df, vocab_size)).fit(train)
-    # Each term weighs term frequency x (inverse document frequency + 1), then unit length.
-    weight = ElementwiseProduct(
-        inputCol="tf", outputCol="weighted",
-        scalingVec=Vectors.dense([v + 1.0 for v in terms.stages[-1].idf]),
+    labelled = feedback.select(id_column, F.col(label).alias("label_text"), text).where(
+        F.col("label_text").isNotNull() & F.col(text).isNotNull()
     )
-    vectors = PipelineModel(
-        [*terms.stages[:-1], weight, Normalizer(inputCol="weighted", outputCol="features", p=2.0)]
-    )
-    classifier = LogisticRegression(
-        featuresCol="features", labelCol="label", weightCol="weight",
-        maxIter=max_iter, family="multinomial",
-    ).fit(vectors.transform(train))
-    fitted = PipelineModel([*vectors.stages, classifier])
-    scored = fitted.transform(indexed.where("is_test"))
-    return SentimentFit(fitted, labels, sentiment_report(scored, labels), class_counts(prepared))
+    prepared = cut_lineage(labelled.withColumn("is_test", hash_bucket(id_column, 100) < test_percent))
+    train = prepared.where(~F.col("is_test"))
+    model = tm.fit_text_model(train, "label_text", text, min_df, vocab_size, max_iter)
+    scored = tm.with_probabilities(prepared.where("is_test"), model, text)
+    best = F.array_position("_probabilities", F.array_max("_probabilities")) - 1
+    names = F.array(*[F.lit(v) for v in model.labels])
+    numbered = scored.select(
+        (F.array_position(names, F.col("label_text")) - 1).alias("label"), best.alias("prediction")
+    ).where("label >= 0")
+    report = sentiment_report(cut_lineage(numbered), model.labels)
+    return SentimentFit(model, model.labels, report, class_counts(prepared))
 
 
 def class_counts(labelled: DataFrame) -> DataFrame:
@@ -188,13 +166,14 @@ def sentiment_report(scored: DataFrame, labels: list[str]) -> DataFrame:
 
 def sentiment_ml(df: DataFrame, fit: SentimentFit, text: str = "text") -> DataFrame:
     """Adds the model's label and its probability (3 decimals)."""
+    scored = tm.with_probabilities(df, fit.model, text)
+    best = F.array_max("_probabilities")
     names = F.array(*[F.lit(v) for v in fit.labels])
-    source = df.withColumn("processed", tx.preprocess(F.coalesce(F.col(text), F.lit(""))))
-    scored = fit.model.transform(source)
+    place = F.array_position("_probabilities", best).cast("int")
     return scored.select(
         *df.columns,
-        F.element_at(names, F.col("prediction").cast("int") + 1).alias("ml_sentiment"),
-        F.round(F.array_max(vector_to_array("probability")), 3).alias("ml_confidence"),
+        F.element_at(names, place).alias("ml_sentiment"),
+        F.round(best, 3).alias("ml_confidence"),
     )
 
 
@@ -204,6 +183,7 @@ def analyze(
     method: str = "hybrid",
     text: str = "text",
     strip_punct: bool = False,
+    lexicon: DataFrame | None = None,
 ) -> DataFrame:
     """Sentiment by ``rule``, ``ml`` or ``hybrid``.
 
@@ -214,7 +194,7 @@ def analyze(
         raise ValueError(f"unknown method: {method}")
     if method == "ml" and fit is None:
         raise ValueError("no fitted model: call fit_sentiment first or use method='rule'")
-    ruled = sentiment_rules(df, text, strip_punct)
+    ruled = sentiment_rules(df, text, strip_punct, lexicon)
     if method == "rule" or fit is None:
         return ruled
     both = sentiment_ml(ruled, fit, text)
@@ -232,15 +212,19 @@ def analyze(
     return both.select(
         *df.columns,
         label.alias("sentiment"), confidence.alias("confidence"),
-        "keywords", "detected_category",
+        "keywords", "detected_category", *(["urgent"] if lexicon is not None else []),
     )
 
 
 def batch_sentiment(
-    df: DataFrame, fit: SentimentFit | None = None, method: str = "hybrid", text: str = "text"
+    df: DataFrame,
+    fit: SentimentFit | None = None,
+    method: str = "hybrid",
+    text: str = "text",
+    lexicon: DataFrame | None = None,
 ) -> DataFrame:
     """Analysis table for display: shortened text and keywords joined by commas."""
-    analyzed = analyze(df, fit, method, text)
+    analyzed = analyze(df, fit, method, text, lexicon=lexicon)
     return analyzed.select(
         *[c for c in df.columns if c != text],
         tx.shorten(F.col(text)).alias("text"),
@@ -251,11 +235,12 @@ def batch_sentiment(
 
 
 def route_feedback(
-    df: DataFrame, fit: SentimentFit | None = None, text: str = "text"
+    df: DataFrame, fit: SentimentFit | None = None, text: str = "text", lexicon: DataFrame | None = None
 ) -> DataFrame:
     """Every row with its routed category, sentiment, team, priority and SLA appended."""
-    analyzed = analyze(df, fit, "hybrid", text)
-    routed = tx.routing(F.col(text), F.col("detected_category"), F.col("sentiment"))
+    analyzed = analyze(df, fit, "hybrid", text, lexicon=lexicon)
+    urgent = F.col("urgent") if lexicon is not None else None
+    routed = tx.routing(F.col(text), F.col("detected_category"), F.col("sentiment"), urgent)
     return analyzed.select(
         *df.columns,
         F.col("detected_category").alias("routed_category"),
