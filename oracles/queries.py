@@ -843,16 +843,9 @@ SELECT source_id, length(p) AS processed_chars,
 FROM docs""".replace("length(p)", "cast(length(p) AS int)"), f"""docs AS (
   SELECT 'D' || doc_id AS source_id, {cleaned('text')} AS p FROM documents
   UNION ALL SELECT 'C' || conv_id || '-' || turn, {cleaned('text')} FROM conversations)""")
-oracle("extract_keywords", F_, "SELECT feedback_id, keywords FROM ruled", FEEDBACK_TEXT)
-oracle("detect_category", F_, "SELECT feedback_id, detected_category FROM ruled", FEEDBACK_TEXT)
-oracle("sentiment_rules", F_, """
+oracle("sentiment_rules_fixed", F_, """
 SELECT feedback_id, sentiment, confidence, detected_category, keywords FROM ruled""",
        FEEDBACK_TEXT)
-oracle("batch_sentiment", F_, """
-SELECT source_id, CASE WHEN length(text) > 100 THEN substring(text, 1, 100) || '...' ELSE text END
-  AS text, sentiment, confidence, detected_category AS category, keywords FROM ruled""",
-       "texts AS (SELECT 'D' || doc_id AS source_id, text FROM documents "
-       "UNION ALL SELECT feedback_id, text FROM feedback),\n" + text_ctes("texts"))
 
 _urgent = "CASE detected_category " + " ".join(
     f"WHEN '{name}' THEN " + " OR ".join(f"contains(lower(text), '{w}')" for w in words)
@@ -868,19 +861,129 @@ routed AS (SELECT *, detected_category AS routed_category,
       AS routed_priority,
     cast(CASE WHEN u AND neg THEN sla // 2 WHEN u OR neg THEN sla ELSE sla * 2 END AS int)
       AS sla_hours FROM urgency)"""
-oracle("route_feedback", F_, """
+oracle("route_feedback_fixed", F_, """
 SELECT feedback_id, routed_category, sentiment, confidence, team, routed_priority, sla_hours
 FROM routed""", ROUTED)
+
+
+def learnt(label: str, kinds: str, name: str) -> str:
+    """Lexicon of one label column: log odds of a word in a label's texts against all others."""
+    return f"""{name}_rows AS (SELECT CASE WHEN {kinds} THEN {label} END AS kind, feedback_id, words
+  FROM said WHERE {label} IS NOT NULL),
+{name}_sizes AS (SELECT kind, count(*) AS kind_texts, sum(count(*)) OVER () AS every FROM {name}_rows GROUP BY kind),
+{name}_hits AS (SELECT kind, word, count(*) AS n FROM (
+    SELECT kind, unnest(list_distinct(words)) AS word FROM {name}_rows) WHERE word <> '' GROUP BY ALL),
+{name} AS (SELECT kind, word, weight, n_texts FROM (
+    SELECT h.kind, h.word, n, n_texts, cast(floor(1000 * ln(((n + 5e-1) * (every - kind_texts + 1))
+      / ((n_texts - n + 5e-1) * (kind_texts + 1)))) AS bigint) AS weight
+    FROM {name}_hits h JOIN {name}_sizes s ON h.kind = s.kind
+    JOIN (SELECT word, cast(sum(n) AS bigint) AS n_texts FROM {name}_hits GROUP BY word) w ON w.word = h.word
+    WHERE n_texts >= 4)
+  WHERE weight > 0
+  QUALIFY row_number() OVER (PARTITION BY kind ORDER BY weight DESC, n DESC, word) <= 60)"""
+
+
+def said(source: str, name: str = "said") -> str:
+    return f"{name} AS (SELECT *, string_split({cleaned(chr(39).join(['coalesce(text, ', '', ')']))}, ' ') AS words FROM {source})"
+
+
+LEXICON = f"""{said("feedback")},
+{learnt("sentiment_label", "sentiment_label IN ('positive', 'negative')", "by_sentiment")},
+{learnt("category", "true", "by_category")},
+{learnt("(CASE WHEN priority = 'high' THEN 'urgent' ELSE 'calm' END)", "priority = 'high'", "by_urgency")},
+lexicon AS (SELECT * FROM by_sentiment UNION ALL SELECT * FROM by_category UNION ALL SELECT * FROM by_urgency)"""
+oracle("learn_lexicon", F_, "SELECT * FROM lexicon", LEXICON)
+
+
+def judged(source: str, key: str) -> str:
+    """Rows of ``source`` with what the learnt lexicon says of them."""
+    return f"""hits AS (SELECT {key} AS hit_key, l.kind, l.word, l.weight
+  FROM (SELECT {key}, unnest(list_distinct(words)) AS w FROM {source}) d JOIN lexicon l ON l.word = d.w),
+kind_sums AS (SELECT hit_key, kind, cast(sum(weight) AS bigint) AS total FROM hits GROUP BY ALL),
+sides AS (SELECT hit_key, coalesce(max(total) FILTER (kind = 'positive'), 0) AS good,
+    coalesce(max(total) FILTER (kind = 'negative'), 0) AS bad, bool_or(kind = 'urgent') AS urgent,
+    first(kind ORDER BY total DESC, kind) FILTER (kind NOT IN ('positive', 'negative', 'urgent')) AS best
+  FROM kind_sums GROUP BY hit_key),
+tops AS (SELECT hit_key, array_to_string(list(word ORDER BY weight DESC, word)[1:5], ', ') AS keywords
+  FROM (SELECT hit_key, word, max(weight) AS weight FROM hits GROUP BY ALL) GROUP BY hit_key),
+judged AS (SELECT f.* EXCLUDE (words), coalesce(keywords, '') AS keywords,
+    coalesce(best, 'general') AS detected_category, coalesce(urgent, false) AS urgent,
+    CASE WHEN good > bad THEN 'positive' WHEN bad > good THEN 'negative' ELSE 'neutral' END AS sentiment,
+    CASE WHEN good IS NULL OR good = bad THEN 5e-1
+      ELSE {rnd(f"{dbl('greatest(good, bad)')} / (good + bad)", 3)} END AS confidence
+  FROM {source} f LEFT JOIN sides s ON s.hit_key = f.{key} LEFT JOIN tops t ON t.hit_key = f.{key})"""
+
+
+JUDGED = f"{LEXICON},\n{judged('said', 'feedback_id')}"
+oracle("extract_keywords", F_, "SELECT feedback_id, keywords FROM judged", JUDGED)
+oracle("detect_category", F_, "SELECT feedback_id, detected_category FROM judged", JUDGED)
+oracle("sentiment_rules", F_,
+       "SELECT feedback_id, sentiment, confidence, detected_category, keywords FROM judged", JUDGED)
+oracle("batch_sentiment", F_, """
+SELECT source_id, CASE WHEN length(text) > 100 THEN substring(text, 1, 100) || '...' ELSE text END
+  AS text, sentiment, confidence, detected_category AS category, keywords FROM judged""",
+       "texts AS (SELECT 'D' || doc_id AS source_id, text FROM documents "
+       "UNION ALL SELECT 'C' || conv_id || '-' || turn, text FROM conversations),\n"
+       f"{LEXICON},\n{said('texts', 'told')},\n{judged('told', 'source_id')}")
+SENT = JUDGED + f""",
+urged AS (SELECT *, sentiment = 'negative' AS neg,
+    {case('detected_category', {n: r[0] for n, r in k.ROUTING_RULES.items()}, "'Customer Success'")} AS team,
+    {case('detected_category', {n: r[2] for n, r in k.ROUTING_RULES.items()}, '24')} AS sla
+  FROM judged),
+sent AS (SELECT *, detected_category AS routed_category,
+    CASE WHEN urgent AND neg THEN 'critical' WHEN urgent OR neg THEN 'high' ELSE 'normal' END AS routed_priority,
+    cast(CASE WHEN urgent AND neg THEN sla // 2 WHEN urgent OR neg THEN sla ELSE sla * 2 END AS int) AS sla_hours
+  FROM urged)"""
+oracle("route_feedback", F_, """
+SELECT feedback_id, routed_category, sentiment, confidence, team, routed_priority, sla_hours
+FROM sent""", SENT)
 oracle("batch_route_feedback", F_, f"""
 SELECT {", ".join(schema_of("feedback").names)}, routed_category, sentiment, confidence, team,
-  routed_priority, sla_hours, keywords FROM routed""", ROUTED)
+  routed_priority, sla_hours, keywords FROM sent""", SENT)
 oracle("sentiment_by_category", F_, "SELECT routed_category, " + ", ".join(
     f"count(*) FILTER (sentiment = '{s}') AS {s}" for s in k.SENTIMENTS
-) + " FROM routed GROUP BY routed_category", ROUTED)
+) + " FROM sent GROUP BY routed_category", SENT)
 oracle("routing_distribution", F_, """
-SELECT 'category' AS dimension, routed_category AS value, count(*) AS n FROM routed GROUP BY 2
-UNION ALL SELECT 'priority', routed_priority, count(*) FROM routed GROUP BY 2
-UNION ALL SELECT 'team', team, count(*) FROM routed GROUP BY 2""", ROUTED)
+SELECT 'category' AS dimension, routed_category AS value, count(*) AS n FROM sent GROUP BY 2
+UNION ALL SELECT 'priority', routed_priority, count(*) FROM sent GROUP BY 2
+UNION ALL SELECT 'team', team, count(*) FROM sent GROUP BY 2""", SENT)
+
+# Common English words that are no terms.
+STOP_WORDS = """
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her
+hers herself it its itself they them their theirs themselves what which who whom this that these those
+am is are was were be been being have has had having do does did doing a an the and but if or because
+as until while of at by for with about against between into through during before after above below to
+from up down in out on off over under again further then once here there when where why how all any
+both each few more most other some such no nor not only own same so than too very s t can will just
+don should now i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's
+she's it's we're they're i've we've you've they've isn't aren't wasn't weren't haven't hasn't hadn't
+don't doesn't didn't won't wouldn't shan't shouldn't mustn't can't couldn't cannot could here's how's
+let's ought that's there's what's when's where's who's why's would""".split()
+_stop = words_list([w.replace("'", "''") for w in STOP_WORDS])
+TERMS = f"""single AS (SELECT feedback_id, list_filter(regexp_extract_all({cleaned("coalesce(text, '')")}, '[a-z0-9]{{2,}}'),
+    lambda w: NOT list_contains({_stop}, w)) AS w FROM feedback),
+termed AS (SELECT feedback_id, unnest(list_concat(w,
+    list_transform(list_zip(w[1:len(w) - 1], w[2:]), lambda p: p[1] || ' ' || p[2]))) AS term FROM single),
+tf AS (SELECT feedback_id, term, count(*) AS tf FROM termed GROUP BY ALL),
+vocabulary AS (SELECT term, count(*) AS df, cast(sum(tf) AS bigint) AS total,
+    ln(((SELECT count(*) FROM feedback) + 1) / (count(*) + 1)) + 1 AS idf
+  FROM tf GROUP BY term HAVING count(*) >= 2 ORDER BY total DESC, term LIMIT 5000),
+met AS (SELECT feedback_id, term, tf, tf * idf AS x FROM tf JOIN vocabulary USING (term)),
+norms AS (SELECT feedback_id, sqrt(sum(x * x)) AS norm, count(*) AS terms, cast(sum(tf) AS bigint) AS tf,
+    max(x) AS heaviest, sum(x) AS total FROM met GROUP BY feedback_id)"""
+oracle("text_vocabulary", F_, f"SELECT term, df, total, {rnd('idf', 6)} AS idf FROM vocabulary", TERMS)
+oracle("text_vectors", F_, f"""
+SELECT feedback_id, coalesce(terms, 0) AS terms, coalesce(tf, 0) AS tf,
+  {rnd('heaviest / norm', 6)} AS heaviest, {rnd('total / norm', 6)} AS length_1
+FROM feedback LEFT JOIN norms USING (feedback_id)""", TERMS)
+oracle("text_scores", F_, f"""
+SELECT feedback_id, {rnd('1 / (1 + exp(coalesce((bad - good) / norm, 0)))', 4)} AS p_positive
+FROM feedback LEFT JOIN (
+  SELECT feedback_id, norm, sum(x * g) AS good, sum(x * b) AS bad FROM met JOIN norms USING (feedback_id)
+  LEFT JOIN (SELECT word AS term, coalesce(max(weight) FILTER (kind = 'positive'), 0) / 1e3 AS g,
+      coalesce(max(weight) FILTER (kind = 'negative'), 0) / 1e3 AS b FROM lexicon GROUP BY word) USING (term)
+  GROUP BY ALL) USING (feedback_id)""", f"{LEXICON},\n{TERMS}")
 
 # --- scoring ---------------------------------------------------------------------------------
 

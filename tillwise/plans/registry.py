@@ -15,12 +15,12 @@ from tillwise import constants as k
 from tillwise.functions import text as tx
 from tillwise.functions.expressions import as_double, tier_rate
 from tillwise.operators import aggregates as agg
-from tillwise.operators import churn, features, models, pricing, profiling, reports, sentiment
-from tillwise.operators import scoring, transforms
+from tillwise.operators import churn, features, lexicon, models, pricing, profiling, reports, sentiment
+from tillwise.operators import scoring, text_model, transforms
 from tillwise.plans import catalog
 from tillwise.plans.batch import aggregate
 from tillwise.schemas import TABLES, schema_of
-from tillwise.session import run_dir
+from tillwise.session import cut_lineage, run_dir
 from tillwise.sources import readers, sinks
 from tillwise.sources.derived import DomainTables, StarTables
 from tillwise.streaming import scoring as stream
@@ -460,12 +460,12 @@ def tier_distribution(t: DomainTables) -> DataFrame:
 
 @query("sentiment_by_category")
 def sentiment_by_category(t: DomainTables) -> DataFrame:
-    return sentiment.sentiment_by_category(sentiment.route_feedback(t["feedback"]))
+    return sentiment.sentiment_by_category(_routed(t))
 
 
 @query("routing_distribution")
 def routing_distribution(t: DomainTables) -> DataFrame:
-    return sentiment.routing_distribution(sentiment.route_feedback(t["feedback"]))
+    return sentiment.routing_distribution(_routed(t))
 
 
 @query("eda_monthly")
@@ -718,23 +718,53 @@ def preprocess_documents(t: DomainTables) -> DataFrame:
     )
 
 
+def lexicon_of(t: DomainTables) -> DataFrame:
+    """Words that tell the labelled feedback apart: by sentiment, by category and by urgency."""
+
+    def learn() -> DataFrame:
+        rows = t["feedback"]
+        urgency = F.when(F.col("priority") == "high", lexicon.URGENT).otherwise("calm")
+        parts = [
+            lexicon.learn_lexicon(rows, "sentiment_label", kinds=[lexicon.POSITIVE, lexicon.NEGATIVE]),
+            lexicon.learn_lexicon(rows, "category"),
+            lexicon.learn_lexicon(rows.withColumn("urgency", urgency), "urgency", kinds=[lexicon.URGENT]),
+        ]
+        return cut_lineage(reduce(DataFrame.unionByName, parts))
+
+    return _fitted(t, "lexicon", learn)
+
+
+@query("learn_lexicon")
+def learn_lexicon(t: DomainTables) -> DataFrame:
+    return lexicon_of(t)
+
+
 @query("extract_keywords")
 def extract_keywords(t: DomainTables) -> DataFrame:
-    return sentiment.extract_keywords(t["feedback"]).select(
+    return sentiment.extract_keywords(t["feedback"], lexicon=lexicon_of(t)).select(
         "feedback_id", F.array_join("keywords", ", ").alias("keywords")
     )
 
 
 @query("detect_category")
 def detect_category(t: DomainTables) -> DataFrame:
-    return sentiment.detect_category(t["feedback"]).select("feedback_id", "detected_category")
+    return sentiment.detect_category(t["feedback"], lexicon=lexicon_of(t)).select("feedback_id", "detected_category")
+
+
+RULED = ["sentiment", "confidence", "detected_category"]
 
 
 @query("sentiment_rules")
 def sentiment_rules(t: DomainTables) -> DataFrame:
+    return sentiment.sentiment_rules(t["feedback"], lexicon=lexicon_of(t)).select(
+        "feedback_id", *RULED, F.array_join("keywords", ", ").alias("keywords")
+    )
+
+
+@query("sentiment_rules_fixed")
+def sentiment_rules_fixed(t: DomainTables) -> DataFrame:
     return sentiment.sentiment_rules(t["feedback"]).select(
-        "feedback_id", "sentiment", "confidence", "detected_category",
-        F.array_join("keywords", ", ").alias("keywords"),
+        "feedback_id", *RULED, F.array_join("keywords", ", ").alias("keywords")
     )
 
 
@@ -743,12 +773,26 @@ def batch_sentiment(t: DomainTables) -> DataFrame:
     documents = t.star.scan("documents").select(
         F.concat(F.lit("D"), "doc_id").alias("source_id"), "text"
     )
-    tickets = t["feedback"].select(F.col("feedback_id").alias("source_id"), "text")
-    return sentiment.batch_sentiment(documents.unionByName(tickets), method="rule")
+    turns = t.star.scan("conversations").select(
+        F.concat(F.lit("C"), "conv_id", F.lit("-"), "turn").alias("source_id"), "text"
+    )
+    return sentiment.batch_sentiment(documents.unionByName(turns), method="rule", lexicon=lexicon_of(t))
+
+
+def _routed(t: DomainTables) -> DataFrame:
+    return sentiment.route_feedback(t["feedback"], lexicon=lexicon_of(t))
 
 
 @query("route_feedback")
 def route_feedback(t: DomainTables) -> DataFrame:
+    return _routed(t).select(
+        "feedback_id", "routed_category", "sentiment", "confidence", "team",
+        "routed_priority", "sla_hours",
+    )
+
+
+@query("route_feedback_fixed")
+def route_feedback_fixed(t: DomainTables) -> DataFrame:
     return sentiment.route_feedback(t["feedback"]).select(
         "feedback_id", "routed_category", "sentiment", "confidence", "team",
         "routed_priority", "sla_hours",
@@ -757,8 +801,50 @@ def route_feedback(t: DomainTables) -> DataFrame:
 
 @query("batch_route_feedback")
 def batch_route_feedback(t: DomainTables) -> DataFrame:
-    routed = sentiment.route_feedback(t["feedback"])
-    return routed.withColumn("keywords", F.array_join("keywords", ", "))
+    return _routed(t).withColumn("keywords", F.array_join("keywords", ", "))
+
+
+@query("text_vocabulary")
+def text_vocabulary(t: DomainTables) -> DataFrame:
+    return rounded(text_model.vocabulary(t["feedback"]), 6, "idf")
+
+
+@query("text_vectors")
+def text_vectors(t: DomainTables) -> DataFrame:
+    rows = t["feedback"]
+    vectors = text_model.vectors(text_model.term_counts(rows), text_model.vocabulary(rows))
+    parts = vectors.groupBy("_key").agg(
+        F.count("*").alias("terms"), F.sum("tf").alias("tf"), F.max("x").alias("heaviest"), F.sum("x").alias("length_1")
+    )
+    keyed = rows.select("feedback_id", lexicon.text_key("text").alias("_of_text"))
+    copies = keyed.groupBy(F.col("_of_text").alias("_same")).agg(F.count("*").alias("copies"))
+    joined = (
+        keyed.join(parts, F.col("_of_text") == F.col("_key"), "left").join(copies, F.col("_of_text") == F.col("_same"))
+    )
+    return joined.select(
+        "feedback_id",
+        F.coalesce("terms", F.lit(0)).alias("terms"),
+        F.coalesce((F.col("tf") / F.col("copies")).cast("bigint"), F.lit(0)).alias("tf"),
+        F.round("heaviest", 6).alias("heaviest"),
+        F.round("length_1", 6).alias("length_1"),
+    )
+
+
+@query("text_scores")
+def text_scores(t: DomainTables) -> DataFrame:
+    """Scores of given weights: those of the learnt lexicon, in the vocabulary's vectors."""
+    rows = t["feedback"]
+    of_kind = lambda kind: F.coalesce(F.max(F.when(F.col("kind") == kind, F.col("weight"))), F.lit(0)) / 1000
+    weights = (
+        lexicon_of(t).groupBy(F.col("word").alias("term"))
+        .agg(F.array(of_kind(lexicon.NEGATIVE), of_kind(lexicon.POSITIVE)).alias("weights"))
+    )
+    known = text_model.vocabulary(rows).join(weights, "term", "left").select(
+        "term", "idf", F.coalesce("weights", F.array(F.lit(0.0), F.lit(0.0))).alias("weights")
+    )
+    model = text_model.TextModel(["negative", "positive"], known, [0.0, 0.0])
+    scored = text_model.with_probabilities(rows, model)
+    return scored.select("feedback_id", F.round(F.get("_probabilities", F.lit(1)), 4).alias("p_positive"))
 
 
 # --- scoring ---------------------------------------------------------------------------------
@@ -943,7 +1029,7 @@ def sentiment_ml(t: DomainTables) -> DataFrame:
 
 @query("sentiment_hybrid")
 def sentiment_hybrid(t: DomainTables) -> DataFrame:
-    return sentiment.analyze(t["feedback"], sentiment_model(t), "hybrid").select(
+    return sentiment.analyze(t["feedback"], sentiment_model(t), "hybrid", lexicon=lexicon_of(t)).select(
         "feedback_id", "sentiment_label", "sentiment", "confidence", "detected_category",
         F.array_join("keywords", ", ").alias("keywords"),
     )
