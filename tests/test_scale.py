@@ -135,3 +135,43 @@ def test_shared_folder_comes_from_the_session(spark):
     assert run_dir(spark, "x").startswith(shared_dir(spark) + "/tillwise/")
     assert shuffle_partitions_for(100 << 40, 4000) == (100 << 40) // (128 << 20)
     assert shuffle_partitions_for(1, 8) == 8
+
+
+def test_quantiles_of_near_unique_values(spark):
+    """A million values of which no two need be equal, and heavy values around the rank."""
+    from tillwise.operators import profiling
+
+    n = 1_000_000
+    values = spark.range(n).select(
+        (F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / 1000.0).alias("u"),
+        F.when(F.col("id") % 5 < 2, 1.0).when(F.col("id") % 5 < 4, 9.0).otherwise(2.0 + F.col("id") / n).alias("h"),
+    )
+    shares = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = {(r.column_name, r.probability): r.quantile
+           for r in profiling.exact_quantiles(values, ["u", "h"], shares, accuracy=1000, listed=500).collect()}
+    for column in ("u", "h"):
+        exact = values.agg(F.percentile(column, shares).alias("q")).first().q
+        assert [got[column, p] for p in shares] == pytest.approx(exact, rel=1e-12)
+
+
+def test_no_window_over_values_and_no_buffered_median(spark, tables):
+    from tillwise.operators import profiling
+
+    assert "Window" not in plan(profiling.describe_table(tables["merchants"]))
+    text = plan(features.pricing_features(tables["merchants"], tables["transactions"]))
+    assert "percentile" not in text and "ObjectHashAggregate" not in text
+
+
+def test_distinct_counts_do_not_copy_rows(spark, tables):
+    assert "Expand" not in plan(agg.daily_summary(tables["transactions"]))
+    assert "Expand" not in plan(catalog.run_query(spark, tables, "monthly_volume"))
+
+
+def test_texts_stay_out_of_the_dedup_shuffle(spark, tables):
+    from tillwise.sources import readers
+
+    shuffles = [x for x in plan(readers.duplicate_report({"f": tables["feedback"]})).split("\n") if "Exchange" in x]
+    assert shuffles and all("text" not in x for x in shuffles)
+    rows = spark.createDataFrame([("a", "b", 0.0), ("ab", "", 0.0), ("a", "b", -0.0), (None, "-", 1.0), ("-", None, 1.0)], "x string, y string, z double")
+    got = readers.duplicate_report({"r": rows}).first()
+    assert (got.row_count, got.distinct_rows, got.removed) == (5, 4, 1)

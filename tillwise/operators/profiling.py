@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -77,83 +78,195 @@ def data_dictionary(df: DataFrame, name: str, approximate: bool = False) -> Data
     return aggregated.select(F.inline(rows))
 
 
+#: A bracket of at most about so many distinct values is listed, a larger one narrowed again.
+LISTED_VALUES = 10_000
+
+
+@dataclass
+class _Bracket:
+    """Where one wanted quantile of a column lies: between ``low`` and ``high``, both included."""
+
+    column: str
+    probability: float
+    total: int
+    low: float
+    high: float
+    below: int = 0
+    inside: int = 0
+    distinct: int = 0
+    before: float | None = None
+    after: float | None = None
+
+    @property
+    def rank(self) -> float:
+        return (self.total - 1) * self.probability
+
+    def holds(self) -> bool:
+        """Whether both ranks to interpolate lie inside or directly beside the bracket."""
+        first, last = math.floor(self.rank), min(math.floor(self.rank) + 1, self.total - 1)
+        low = self.below - (self.before is not None)
+        high = self.below + self.inside - (self.after is None)
+        return low <= first and last <= high
+
+    def within(self) -> Column:
+        return as_double(self.column).between(self.low, self.high)
+
+
+def _counted(df: DataFrame, brackets: list[_Bracket]) -> None:
+    """Rows below and inside every bracket, its distinct values and its neighbours, in one scan."""
+    aggregates = []
+    for i, b in enumerate(brackets):
+        value = as_double(b.column)
+        aggregates += [
+            F.count_if(value < b.low).alias(f"below{i}"),
+            F.count_if(b.within()).alias(f"inside{i}"),
+            F.approx_count_distinct(F.when(b.within(), value)).alias(f"distinct{i}"),
+            F.max(F.when(value < b.low, value)).alias(f"before{i}"),
+            F.min(F.when(value > b.high, value)).alias(f"after{i}"),
+        ]
+    row = df.agg(*aggregates).first()
+    for i, b in enumerate(brackets):
+        for name in ("below", "inside", "distinct", "before", "after"):
+            setattr(b, name, row[f"{name}{i}"])
+
+
+def _narrowed(df: DataFrame, brackets: list[_Bracket], accuracy: int) -> None:
+    """Tighter ends from sketches of the values inside each bracket, in one scan."""
+    shares = []
+    for b in brackets:
+        inside, margin = max(b.inside, 1), 2.0 / accuracy
+        first = (math.floor(b.rank) - b.below) / inside
+        last = (math.floor(b.rank) + 1 - b.below) / inside
+        shares.append([min(max(s, 0.0), 1.0) for s in (first - margin, last + margin)])
+    row = df.agg(
+        *[
+            F.percentile_approx(F.when(b.within(), as_double(b.column)), s, accuracy).alias(f"q{i}")
+            for i, (b, s) in enumerate(zip(brackets, shares))
+        ]
+    ).first()
+    for i, b in enumerate(brackets):
+        b.low, b.high = row[f"q{i}"]
+
+
+def _trimmed(df: DataFrame, brackets: list[_Bracket]) -> None:
+    """Brackets whose ends are so frequent that a sketch cannot leave them lose the ends that do not
+    have the rank, or all but the end that has it and its neighbour."""
+    aggregates = []
+    for i, b in enumerate(brackets):
+        value = as_double(b.column)
+        aggregates += [
+            F.count_if(value == b.low).alias(f"lows{i}"),
+            F.count_if(value == b.high).alias(f"highs{i}"),
+            F.min(F.when(b.within() & (value > b.low), value)).alias(f"next{i}"),
+            F.max(F.when(b.within() & (value < b.high), value)).alias(f"last{i}"),
+        ]
+    row = df.agg(*aggregates).first()
+    for i, b in enumerate(brackets):
+        first = math.floor(b.rank) - b.below
+        if first < row[f"lows{i}"]:
+            b.high = row[f"next{i}"]
+        elif first + 1 >= b.inside - row[f"highs{i}"]:
+            b.low = row[f"last{i}"]
+        else:
+            b.low, b.high = row[f"next{i}"], row[f"last{i}"]
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
     accuracy: int = 10000,
+    listed: int = LISTED_VALUES,
 ) -> DataFrame:
-    """Exact linearly interpolated quantiles per column, without gathering a column anywhere.
+    """Exact linearly interpolated quantiles per column, without sorting or gathering a column.
 
-    A mergeable sketch brackets each wanted rank to within a small share of the rows; one
-    exact pass then counts what lies below the bracket and ranks only the distinct values
-    inside it. Equal values are folded into (value, count) before anything is ranked.
+    Selection by narrowing: mergeable sketches bracket every wanted rank, an exact scan counts what
+    lies below and inside the brackets, and brackets of many distinct values are sketched again,
+    each time some thousands of times narrower. Only then are the few values left listed with their
+    counts. Every step is an aggregate that folds in the tasks; one row comes back from each, and no
+    more than about ``listed`` values of a bracket meet. NULL and NaN are not values; a column
+    without values has no row.
     """
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("column_name"), as_double(c).alias("value")) for c in columns]
-    )
-    values = df.select(F.inline(pairs)).where(F.col("value").isNotNull())
-    counts = values.groupBy("column_name", "value").agg(F.count("*").alias("n"))
-
-    margin = 2.0 / accuracy
-    sketch = values.groupBy("column_name").agg(
-        F.count("*").alias("total"),
-        F.percentile_approx(
-            "value", [max(0.0, p - margin) for p in probabilities], accuracy
-        ).alias("low"),
-        F.percentile_approx(
-            "value", [min(1.0, p + margin) for p in probabilities], accuracy
-        ).alias("high"),
+    numbers = df.select(*[F.nanvl(as_double(c), F.lit(None).cast("double")).alias(c) for c in columns])
+    shares = [float(p) for p in probabilities]
+    row = numbers.agg(
+        *[
+            x
+            for i, c in enumerate(columns)
+            for x in (F.count(c).alias(f"n{i}"), F.min(c).alias(f"low{i}"), F.max(c).alias(f"high{i}"))
+        ]
+    ).first()
+    brackets = [
+        _Bracket(c, p, row[f"n{i}"], row[f"low{i}"], row[f"high{i}"], inside=row[f"n{i}"])
+        for i, c in enumerate(columns)
+        if row[f"n{i}"]
+        for p in shares
+    ]
+    wide = brackets
+    while wide:
+        ends = [(b.low, b.high) for b in wide]
+        _narrowed(numbers, wide, accuracy)
+        _counted(numbers, wide)
+        for b, (low, high) in zip(wide, ends):
+            if not b.holds():  # a sketch that missed: go on from the ends before
+                b.low, b.high = low, high
+        missed = [b for b in wide if not b.holds()]
+        if missed:
+            _counted(numbers, missed)
+        same = [b for b, e in zip(wide, ends) if (b.low, b.high) == e and b.distinct > listed]
+        if same:
+            _trimmed(numbers, same)
+            _counted(numbers, same)
+        wide = [b for b in wide if b.distinct > listed]
+    return _read_off(numbers, brackets)
+
+
+def _read_off(numbers: DataFrame, brackets: list[_Bracket]) -> DataFrame:
+    """The quantiles from the listed values of narrow brackets."""
+    schema = "column_name string, probability double, quantile double"
+    if not brackets:
+        return numbers.sparkSession.createDataFrame([], schema)
+    members = F.array(
+        *[
+            F.when(b.within(), F.struct(F.lit(i).alias("bracket"), as_double(b.column).alias("value")))
+            for i, b in enumerate(brackets)
+        ]
     )
-    # One row per profiled column and probability: a size fixed by the call.
-    brackets = sketch.select(
-        "column_name", "total",
-        F.inline(F.arrays_zip(
-            F.array(*[F.lit(float(p)) for p in probabilities]).alias("probability"), "low", "high"
-        )),
-    ).toDF("column_name", "total", "probability", "low", "high")
-    tagged = counts.join(F.broadcast(brackets), "column_name")
-
-    key = ["column_name", "probability"]
-    outside = tagged.groupBy(*key).agg(
-        F.sum(F.when(F.col("value") < F.col("low"), F.col("n")).otherwise(0)).alias("below"),
-        F.max(F.when(F.col("value") < F.col("low"), F.col("value"))).alias("last_below"),
-        F.min(F.when(F.col("value") > F.col("high"), F.col("value"))).alias("first_above"),
-        F.first("total").alias("total"),
+    counts = (
+        numbers.select(F.inline(F.array_compact(members)))
+        .groupBy("bracket", "value")
+        .agg(F.count("*").alias("n"))
+        .groupBy("bracket")
+        .agg(F.array_sort(F.collect_list(F.struct("value", "n"))).alias("found"))
     )
-    inside = tagged.where(F.col("value").between(F.col("low"), F.col("high"))).select(
-        *key, "value", "n",
-        F.sum("n").over(W.partitionBy(*key).orderBy("value")).alias("upto"),
+    known = numbers.sparkSession.createDataFrame(
+        [
+            (i, b.column, b.probability, math.floor(b.rank) - b.below, b.rank - math.floor(b.rank),
+             b.total - 1 - b.below, b.before, b.after)
+            for i, b in enumerate(brackets)
+        ],
+        "of int, column_name string, probability double, first long, weight double, last long, before double, after double",
     )
-    rank = (F.col("total") - 1) * F.col("probability")
-    whole = F.floor(rank)
-    starts = F.col("below") + F.col("upto") - F.col("n")
-    ends = F.col("below") + F.col("upto") - 1
-    return (
-        inside.join(F.broadcast(outside), key)
-        .groupBy(*key)
-        .agg(
-            F.max(F.when(whole.between(starts, ends), F.col("value"))).alias("lower"),
-            F.max(F.when((whole + 1).between(starts, ends), F.col("value"))).alias("upper"),
-            # With few rows the wanted ranks may be the direct neighbours of the bracket.
-            F.first(F.when(whole == F.col("below") - 1, F.col("last_below"))).alias("neighbour_low"),
-            F.first("first_above").alias("neighbour_high"),
-            F.max(ends).alias("last_inside"),
-            F.first(whole).alias("whole"),
-            F.first(F.col("total") - 1).alias("last"),
-            F.first(rank - whole).alias("weight"),
-        )
-        .withColumn("lower", F.coalesce("lower", "neighbour_low"))
-        .withColumn(
-            "upper",
-            F.when(F.col("whole") == F.col("last"), F.col("lower"))
-            .when(F.col("whole") == F.col("last_inside"), F.col("neighbour_high"))
-            .otherwise(F.col("upper")),
-        )
-        .select(
-            *key,
-            (F.col("lower") + F.col("weight") * (F.col("upper") - F.col("lower"))).alias("quantile"),
+
+    def at(rank: Column) -> Column:
+        """The value of a rank inside the bracket; -1 is the one before, the end the one behind."""
+        walked = F.aggregate(
+            "found",
+            F.struct(F.lit(0).cast("long").alias("upto"), F.lit(None).cast("double").alias("value")),
+            lambda s, x: F.struct(
+                (s["upto"] + x["n"]).alias("upto"),
+                F.when((s["upto"] <= rank) & (rank < s["upto"] + x["n"]), x["value"]).otherwise(s["value"]).alias("value"),
+            ),
+            lambda s: s["value"],
         )
+        return F.when(rank < 0, F.col("before")).otherwise(F.coalesce(walked, F.col("after")))
+
+    lower, upper = at(F.col("first")), at(F.least(F.col("first") + 1, F.col("last")))
+    # Both sides have one row per column and probability.
+    return (
+        counts.join(F.broadcast(known), F.col("bracket") == F.col("of"))
+        .select("column_name", "probability", "weight", lower.alias("lower"), upper.alias("upper"))
+        .select("column_name", "probability", (F.col("lower") + F.col("weight") * (F.col("upper") - F.col("lower"))).alias("quantile"))
     )
 
 

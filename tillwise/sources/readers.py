@@ -6,7 +6,9 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import (
+    ArrayType, BinaryType, DoubleType, FloatType, MapType, StringType, StructField, StructType,
+)
 
 from tillwise.schemas import TABLES, schema_of
 
@@ -98,11 +100,30 @@ def ingest(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: df.dropDuplicates() for name, df in tables.items()}
 
 
+def row_digest(df: DataFrame) -> Column:
+    """SHA-256 over all values of a row, each behind its length, so that no two rows read alike."""
+
+    def value(field: StructField) -> Column:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (DoubleType, FloatType)):
+            column = column + 0.0  # the two zeros are one value
+        said = column.cast("string")
+        return F.when(column.isNull(), "-").otherwise(F.concat_ws(":", F.length(said), said))
+
+    return F.unhex(F.sha2(F.concat(*map(value, df.schema.fields)), 256))
+
+
 def duplicate_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows, distinct rows and removed rows per table, from one grouping each."""
+    """Rows, distinct rows and removed rows per table, from one grouping each.
+
+    Rows are grouped by their digest of 32 bytes, so wide columns and whole texts never cross the
+    shuffle; copies fold map-side. Tables with nested or binary columns are grouped by value.
+    """
     reports = []
     for name, df in tables.items():
-        copies = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+        nested = any(isinstance(f.dataType, (ArrayType, MapType, StructType, BinaryType)) for f in df.schema.fields)
+        keys = [F.col(f"`{c}`") for c in df.columns] if nested else [row_digest(df).alias("_digest")]
+        copies = df.groupBy(*keys).agg(F.count("*").alias("_copies"))
         reports.append(
             copies.agg(
                 F.lit(name).alias("table_name"),
