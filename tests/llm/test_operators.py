@@ -10,6 +10,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from compare import difference, duck
@@ -128,13 +129,20 @@ def test_mixing(spark, odd, nothing):
 
 @pytest.mark.parametrize("name,spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
 def test_pieces_give_the_ids_of_the_library(corpus, monkeypatch, name, spaced):
-    monkeypatch.setattr(tokens, "GENERATION", 300)
+    monkeypatch.setattr(tokens, "GENERATION_BYTES", 20_000)
     library = Tokenizer.from_file(public_tokenizers.path(name))
     encoder = tokens.Encoder(public_tokenizers.path(name), spaced)
     odd = ["", " ", "a  b\n\n c", "x\ty", "<|endoftext|> a", "a\x1cb \xa0 c", "don't 'S", "ΣΑΣ.", "é ́ á", "日本 語。",
            "İ, I,", "a\r\nb", "🙂 🙂🙂", "\x0b", "a | b||c", "1,2.3", "x﻿ y"]
-    for text in [*odd, *list(corpus.values())[:60]]:
-        assert encoder.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    draw = np.random.default_rng(2)
+    mixed = ["".join(draw.choice(list(" \n\t ab,É ."), 40)) for _ in range(300)]
+    texts = [*odd, *list(corpus.values())[:60], *mixed, "", *odd[::-1]]
+    want = [library.encode(text, add_special_tokens=False).ids for text in texts]
+    monkeypatch.setattr(tokens, "BLOCK_BYTES", 30_000)
+    assert [ids.tolist() for ids in encoder.encode_column(pa.array(texts))] == want
+    assert [encoder.encode(text).tolist() for text in texts] == want
+    assert [ids.tolist() for ids in encoder.encode_column(pa.array([None, "a", None], pa.string()))][::2] == [[], []]
+    assert list(encoder.encode_column(pa.array([], pa.string()))) == []
 
 
 def test_token_files(spark, odd, nothing, corpus):

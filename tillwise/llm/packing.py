@@ -38,8 +38,8 @@ def _cutter(tokenizer: str, end_id: int, length: int):
         for batch in batches:
             rows: list[list] = [[], [], [], [], []]
             size = 0
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
-                ids = np.append(encode.encode(text.as_py() or ""), end_id).astype("<u4")
+            for doc_id, found in zip(batch.column("doc_id"), encode.encode_column(batch.column("text"))):
+                ids = np.append(found, end_id).astype("<u4")
                 for start in range(0, len(ids), length):
                     piece = ids[start : start + length]
                     for column, value in zip(rows, (doc_id.as_py(), start, len(piece), len(ids), piece.tobytes())):

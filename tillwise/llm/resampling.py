@@ -35,7 +35,7 @@ LEAST_WORDS = 20
 #: Gains and noise are counted in thousandths.
 SCALE = 1000
 #: Bytes of text that one table holds; a longer text is cut between words.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 #: Rows of buckets gathered at once.
 GATHER = 1 << 20
 

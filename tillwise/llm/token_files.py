@@ -78,9 +78,9 @@ def _writer(folder: str, tokenizer: str, spaced: bool, end_id: int, length: int)
             for batch in batches:
                 doc_ids, counts = batch.column("doc_id"), []
                 first = n_tokens
-                for text in batch.column("text"):
-                    waiting += [encode.encode(text.as_py() or ""), end]
-                    counts.append(len(waiting[-2]) + 1)
+                for ids in encode.encode_column(batch.column("text")):
+                    waiting += [ids, end]
+                    counts.append(len(ids) + 1)
                     held += counts[-1]
                     if held >= block:
                         flush(False)

@@ -9,9 +9,9 @@ from __future__ import annotations
 
 import os
 import re
-from array import array
 
 import numpy as np
+import pyarrow as pa
 
 from tillwise.llm.common import worker_cache
 
@@ -19,10 +19,11 @@ from tillwise.llm.common import worker_cache
 UNUSUAL = re.compile(
     r"[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‏ -  -⁤　﻿]|<\|"
 )
-#: How a byte-level tokenizer cuts at white space: one space belongs to the word that follows.
-SPACED_PIECES = re.compile(r" ?[^ \t\n\r]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+")
-#: Pieces in one generation of a worker's memory; two generations are kept (speed only).
-GENERATION = 700_000
+#: Bytes of pieces and ids that one generation of a worker's memory holds, and what an entry costs
+#: besides; two generations are kept (speed only). Longer pieces are not kept.
+GENERATION_BYTES, ENTRY_BYTES, LONGEST_KEPT = 96 << 20, 160, 1024
+#: Bytes of text that are cut into pieces at once.
+BLOCK_BYTES = 4 << 20
 #: Marks that are cut off before a piece is looked up.
 MARKS = ",.;:!?"
 
@@ -31,15 +32,6 @@ def id_type(vocabulary: int) -> str:
     return "uint16" if vocabulary <= 1 << 16 else "uint32"
 
 
-def plain_split(text: str) -> list[str]:
-    """Pieces between plain white space; empty ones have no ids."""
-    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-
-
-class UnusualPiece(Exception):
-    """The text of this piece has to be encoded whole."""
-
-
 def split_mark(piece: str) -> tuple[str, str]:
     """The piece without one closing mark, and the mark: both tokenizers cut between a letter and
     a mark. Only Latin-1 letters, which stay letters in lower case."""
@@ -48,8 +40,36 @@ def split_mark(piece: str) -> tuple[str, str]:
     return piece, ""
 
 
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[9, 10, 13, 32]] = True
+
+
+def cut_at_spaces(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where pieces begin in texts that follow each other in ``data``, beginning at ``starts``.
+
+    A byte-level tokenizer cuts at white space so: the last character of a run belongs to the word
+    behind it if it is a space and stands alone otherwise; what is before it is a piece.
+    """
+    n = len(data)
+    first = np.zeros(n + 1, dtype=bool)
+    first[starts] = True
+    first[n] = True
+    space = np.r_[_SPACE[data], False]
+    before = np.r_[False, space[:-1]]
+    begins = np.flatnonzero(space & (~before | first))
+    ends = np.flatnonzero(before & (~space | first))
+    ends_word = ends[~first[ends]]
+    cuts = first.copy()
+    cuts[begins] = True
+    cuts[ends_word - 1] = True
+    cuts[ends_word[data[ends_word - 1] != 32]] = True
+    return np.flatnonzero(cuts[:n])
+
+
 class Encoder:
-    """``encode(text)`` gives the ids as a numpy array. ``spaced`` says whether white space counts."""
+    """``encode_many(texts)`` gives the ids of each text as a numpy array. ``spaced`` says whether
+    white space counts. The pieces of a block of texts are numbered by their dictionary in Arrow, so
+    only distinct pieces are looked up, and only unknown ones are asked of the library."""
 
     def __init__(self, path: str, spaced: bool):
         # Tasks are the parallelism here; threads of the library would only compete with them.
@@ -58,57 +78,113 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.type = np.dtype(id_type(self.library.get_vocab_size(with_added_tokens=True)))
-        self.split = SPACED_PIECES.findall if spaced else plain_split
+        self.spaced = spaced
         # Stands between pieces; its id occurs in no piece that lacks its character.
         divider = "\n" if spaced else " | "
         self.divider = divider, self.library.encode(divider, add_special_tokens=False).ids[0]
-        self.seen: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        # Ids of a piece as bytes; False if a text with it is encoded whole.
+        self.seen: dict[str, bytes | bool] = {}
+        self.older: dict[str, bytes | bool] = {}
+        self.held = 0
 
     def _ask(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of pieces, in one call for all that can be told apart by the divider's id."""
         divider, mark = self.divider
-        plain = [p for p in pieces if divider.strip(" ") not in p and not p.isspace()]
+        bare = divider.strip(" ")
+        plain = [p for p in pieces if bare not in p and not p.isspace()]
         answer = {}
         if plain:
-            ids = array(self.type.char, self.library.encode(divider.join(plain), add_special_tokens=False).ids)
-            cuts = np.flatnonzero(np.frombuffer(ids, self.type) == mark) * ids.itemsize
-            raw, step = ids.tobytes(), ids.itemsize
+            ids = np.array(self.library.encode_batch_fast([divider.join(plain)], add_special_tokens=False)[0].ids, self.type)
+            cuts = np.flatnonzero(ids == mark) * self.type.itemsize
+            raw, step = ids.tobytes(), self.type.itemsize
             if len(cuts) == len(plain) - 1:
                 ends = [*cuts.tolist(), len(raw)]
-                answer = {p: raw[a:b] for p, a, b in zip(plain, [0, *(c + step for c in ends)], ends)}
-        rest = [p for p in pieces if p not in answer]
-        found = self.library.encode_batch_fast(rest, add_special_tokens=False)
-        return answer | {p: array(self.type.char, f.ids).tobytes() for p, f in zip(rest, found)}
-
-    def _learn(self, new: set[str]) -> None:
-        if any(map(UNUSUAL.search, new)):
-            raise UnusualPiece
-        if len(self.seen) + 2 * len(new) > GENERATION:
-            self.older, self.seen = self.seen, {}
+                starts = [0, *(cuts + step).tolist()]
+                answer = dict(zip(plain, [raw[a:b] for a, b in zip(starts, ends)]))
+        if len(answer) < len(pieces):
+            rest = [p for p in pieces if p not in answer]
+            found = self.library.encode_batch_fast(rest, add_special_tokens=False)
+            answer |= {p: np.array(f.ids, self.type).tobytes() for p, f in zip(rest, found)}
+        return answer
+
+    def _lookup(self, pieces: list[str]) -> list[bytes | bool]:
+        """What is known or now asked about distinct pieces."""
+        if self.held > GENERATION_BYTES:
+            self.older, self.seen, self.held = self.seen, {}, 0
         seen, older = self.seen, self.older
-        parts = {p: split_mark(p) for p in new}
-        asked = list({x for both in parts.values() for x in both if x and x not in seen and x not in older})
-        seen.update(self._ask(asked))
-        for piece, both in parts.items():
-            if piece not in seen:
-                seen[piece] = older.get(piece) or b"".join(
-                    seen[x] if x in seen else older[x] for x in both if x
+        found = list(map(seen.get, pieces))
+        now = {p: older.get(p) for p, ids in zip(pieces, found) if ids is None}
+        new = [p for p, ids in now.items() if ids is None]
+        if UNUSUAL.search("\0".join(new)):
+            now |= {p: False for p in new if UNUSUAL.search(p)}
+            new = [p for p in new if now[p] is None]
+        marked = {p: split_mark(p) for p in new if p[-1] in MARKS}
+        bodies = {body for body, mark in marked.values() if mark}
+        bodies.update(mark for _, mark in marked.values())
+        bodies.discard("")
+        parts = {x: seen.get(x) or older.get(x) for x in bodies if x not in now}
+        asked = [x for x, ids in parts.items() if not ids]
+        whole = [p for p in new if not (p in marked and marked[p][1])]
+        answer = self._ask([*asked, *whole])
+        now.update((p, answer[p]) for p in whole)
+        for piece, (body, mark) in marked.items():
+            if mark:
+                now[piece] = (now.get(body) or parts.get(body) or answer[body]) + (
+                    now.get(mark) or parts.get(mark) or answer[mark]
                 )
+        now |= {x: answer[x] for x in asked}
+        kept = {p: ids for p, ids in now.items() if len(p) <= LONGEST_KEPT}
+        seen |= kept
+        self.held += sum(map(len, kept)) + sum(len(ids) for ids in kept.values() if ids) + ENTRY_BYTES * len(kept)
+        return [now[p] if ids is None else ids for p, ids in zip(pieces, found)]
+
+    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
+        raw = [t.encode() for t in texts]
+        sizes = np.array([len(r) for r in raw], dtype=np.int64)
+        ends = np.cumsum(sizes)
+        data = np.frombuffer(b"".join(raw), dtype=np.uint8)
+        cuts = cut_at_spaces(data, (ends - sizes)[sizes > 0])
+        offsets = pa.py_buffer(np.r_[cuts, len(data)].astype(np.int32))
+        numbered = pa.StringArray.from_buffers(len(cuts), offsets, pa.py_buffer(data)).dictionary_encode()
+        distinct = numbered.dictionary.to_pylist()
+        if not self.spaced:
+            bare = [p.strip(" \t\n\r") for p in distinct]
+            kinds = list(dict.fromkeys(p for p in bare if p))
+            known = dict(zip(kinds, self._lookup(kinds)))
+            known[""] = b""
+            ids = [known[p] for p in bare]
+        else:
+            ids = self._lookup(distinct)
+        flat = np.frombuffer(b"".join(i or b"" for i in ids), self.type)
+        lengths = np.array([len(i or b"") for i in ids], dtype=np.int64) // self.type.itemsize
+        heads = np.cumsum(lengths) - lengths
+        which = numbered.indices.to_numpy()
+        counts = lengths[which]
+        upto = np.r_[0, np.cumsum(counts)]
+        out = flat[np.repeat(heads[which] - upto[:-1], counts) + np.arange(upto[-1])]
+        place = np.searchsorted(cuts, np.r_[0, ends])
+        found = [out[upto[a] : upto[b]] for a, b in zip(place[:-1].tolist(), place[1:].tolist())]
+        whole = np.array([i is False for i in ids], dtype=bool)
+        if whole.any():
+            owner = np.searchsorted(ends, cuts[whole[which]], side="right")
+            for i in np.unique(owner).tolist():
+                found[i] = np.array(self.library.encode(texts[i], add_special_tokens=False).ids, dtype=self.type)
+        return found
 
     def encode(self, text: str) -> np.ndarray:
-        pieces = self.split(text)
-        found = list(map(self.seen.get, pieces))
-        if None in found:
-            try:
-                self._learn({p for p, ids in zip(pieces, found) if ids is None})
-            except UnusualPiece:
-                ids = self.library.encode(text, add_special_tokens=False).ids
-                return np.array(ids, dtype=self.type)
-            found = list(map(self.seen.get, pieces))
-            if None in found:  # a new generation has begun meanwhile
-                found = [ids if ids is not None else self.older[p] for p, ids in zip(pieces, found)]
-        return np.frombuffer(b"".join(found), dtype=self.type)
+        return self.encode_many([text])[0]
+
+    def encode_column(self, column: pa.Array):
+        """Ids of every text of an Arrow column in order (null: empty), some texts at a time."""
+        block, size = [], 0
+        for value in column:
+            text = value.as_py() or ""
+            if block and size + len(text) > BLOCK_BYTES:
+                yield from self.encode_many(block)
+                block, size = [], 0
+            block.append(text)
+            size += len(text)
+        yield from self.encode_many(block)
 
 
 def encoder(path: str, spaced: bool) -> Encoder:
