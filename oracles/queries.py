@@ -284,11 +284,20 @@ FROM (SELECT 'daily_summary' AS aggregate, count(DISTINCT date) AS n FROM transa
       FROM transactions t JOIN merchants m ON m.merchant_id = t.merchant_id),
   (VALUES ('2001-07-31'), ('2001-08-01')) AS days(d)""")
 
-oracle("run_metadata", MT, """
-SELECT '2001-08-01' AS batch_date, 'daily_summary' AS table_name,
-  count(DISTINCT date) AS row_count FROM transactions
-UNION ALL SELECT '2001-08-01', 'category_summary', count(DISTINCT m.business_category)
-FROM transactions t JOIN merchants m ON m.merchant_id = t.merchant_id""")
+BATCH_AGGREGATES = """SELECT 'daily_summary' AS table_name, count(DISTINCT date) AS row_count FROM transactions
+UNION ALL SELECT 'category_summary', count(DISTINCT m.business_category)
+FROM transactions t JOIN merchants m ON m.merchant_id = t.merchant_id"""
+TABLE_ROWS = "\n".join(f"UNION ALL SELECT '{n}', count(*) FROM {n}" for n in TABLES)
+oracle("run_metadata", ALL, f"""
+SELECT '2001-08-01' AS batch_date, table_name, row_count FROM (
+{BATCH_AGGREGATES}
+{TABLE_ROWS})""")
+oracle("run_batch", ALL, f"""
+SELECT table_name, row_count, row_count AS recorded_rows FROM (
+{BATCH_AGGREGATES}
+{TABLE_ROWS}
+UNION ALL SELECT 'pricing_features', count(*) FROM merchants
+UNION ALL SELECT 'churn_features', count(*) FROM merchants)""")
 
 # --- row transforms ----------------------------------------------------------------------
 

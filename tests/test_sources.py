@@ -189,6 +189,67 @@ def test_daily_batch(spark, tables, tmp_path):
     assert spark.read.parquet(f"{out}/aggregates/daily_summary").count() == 2 * first
 
 
+def test_batch_goes_on_where_it_stopped(spark, tables, tmp_path, monkeypatch):
+    """Killed after two steps, it ends without doing these again; changed input is done anew."""
+    from tillwise.plans import batch
+
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    for name in TABLES:
+        sinks.write_table(tables[name], f"{raw}/{name}.parquet")
+    config = BatchConfig(raw, out, input_format="parquet", batch_date="2001-08-01")
+    written = []
+
+    def recording(df, path, *args):
+        written.append(path.removeprefix(out).split("/")[1])
+        return sinks.write_table(df, path, *args)
+
+    def killed(data):
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(batch, "write_table", recording)
+    with monkeypatch.context() as patch:
+        patch.setattr(batch, "build_features", killed)
+        with pytest.raises(RuntimeError, match="killed"):
+            run_batch(spark, config)
+    assert set(written) == {"ingested", "transformed"}
+    written.clear()
+    data = run_batch(spark, config)
+    assert set(written) == {"features"}
+    meta = spark.read.json(f"{out}/metadata").first().tables_processed.asDict()
+    assert {n: meta[n] for n in data} == {n: df.count() for n, df in data.items()} and set(TABLES) < set(meta)
+    written.clear()
+    run_batch(spark, config)
+    assert not written
+    sinks.write_table(tables["merchants"].limit(5), f"{raw}/merchants.parquet")
+    again = run_batch(spark, config)
+    assert {"ingested", "transformed", "features"} == set(written) and again["merchants"].count() == 5
+
+
+def test_model_scores_in_the_stream_as_in_a_batch(spark, tmp_path):
+    from tillwise.operators import models
+    from tillwise.sources.derived import DomainTables
+
+    tables = DomainTables(spark, "/root/testdata/sf0.01")  # the trees need more rows than categories
+    requests, facts = tables["merchants"], tables["transactions"]
+    quick = models.BoostingParams(trees=3, depth=3, cross_validate=False)
+    fitted = models.fit_churn(requests, facts, quick)
+    activity = models.churn_training(requests, facts)
+    score = stream.model_scorer(activity, fitted)
+    folder, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    sinks.write_table(requests.where("1 = 0"), folder)
+    none = stream.run_scoring(spark, folder, requests.schema, out, mark, score, timeout=120)
+    assert none.count() == 0 and "status" in none.columns
+    invalid = requests.limit(2).withColumn("monthly_volume_usd", F.lit(-1).cast("decimal(18,2)"))
+    sinks.write_table(invalid, folder, "append")
+    assert stream.run_scoring(spark, folder, requests.schema, out, mark, score, timeout=120).count() == 0
+    sinks.write_table(requests, folder, "append")
+    scored = stream.run_scoring(spark, folder, requests.schema, out, mark, score, timeout=120)
+    assert same(scored, score(requests)) and scored.count() == requests.count()
+    assert {r.status for r in scored.collect()} == {"scored", "insufficient_data"}
+    with pytest.raises(ValueError, match="churn or pricing"):
+        stream.model_scorer(activity, fitted, "other")(requests)
+
+
 def test_stream_scores_each_request_once(spark, tables, tmp_path):
     requests = tables["merchants"]
     folder, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))

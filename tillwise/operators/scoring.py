@@ -18,8 +18,9 @@ def pricing_factors() -> dict[str, Column]:
     }
 
 
-def score_pricing(requests: DataFrame, rate: Column) -> DataFrame:
-    """Pricing response for each request, given a recommended-rate expression or column."""
+def score_pricing(requests: DataFrame, rate: Column, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Pricing response for each request, given a recommended-rate expression or column; columns to
+    ``keep`` come last."""
     current = tier_rate(F.col("pricing_tier"))
     factors = [part for name, value in pricing_factors().items() for part in (F.lit(name), value)]
     return requests.select(
@@ -30,10 +31,11 @@ def score_pricing(requests: DataFrame, rate: Column) -> DataFrame:
         F.round(rate - current, 4).alias("rate_change"),
         F.lit(k.SCORING_CONFIDENCE).alias("confidence"),
         F.create_map(*factors).alias("factors"),
+        *keep,
     )
 
 
-def score_churn(requests: DataFrame, probability: Column) -> DataFrame:
+def score_churn(requests: DataFrame, probability: Column, keep: tuple[str, ...] = ()) -> DataFrame:
     """Churn response for each request: tier, revenue at risk and the action to take; none of them
     without a probability."""
     p = probability.cast("double")
@@ -45,4 +47,5 @@ def score_churn(requests: DataFrame, probability: Column) -> DataFrame:
         tier.alias("risk_tier"),
         F.round(revenue * p, 2).alias("revenue_at_risk"),
         lookup(tier, k.SCORING_ACTIONS).alias("recommended_action"),
+        *keep,
     )

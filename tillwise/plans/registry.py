@@ -17,8 +17,8 @@ from tillwise.functions.expressions import as_double, tier_rate
 from tillwise.operators import aggregates as agg
 from tillwise.operators import churn, features, lexicon, models, pricing, profiling, reports, sentiment
 from tillwise.operators import scoring, text_model, transforms
-from tillwise.plans import catalog
-from tillwise.plans.batch import aggregate
+from tillwise.plans import batch, catalog
+from tillwise.plans.batch import BatchConfig, aggregate
 from tillwise.schemas import TABLES, schema_of
 from tillwise.session import cut_lineage, run_dir
 from tillwise.sources import readers, sinks
@@ -216,12 +216,26 @@ def run_metadata(t: DomainTables) -> DataFrame:
     counts = {
         name: sinks.write_table(df, f"{folder}/{name}") for name, df in aggregate(t).items()
     }
+    counts |= {r.table_name: r.row_count for r in readers.row_counts({n: t[n] for n in TABLES}).collect()}
     record = sinks.run_metadata(t.spark, "2001-08-01", time.monotonic() - started, counts)
     sinks.write_json(record, f"{folder}/run")
     stored = t.spark.read.schema(record.schema).json(f"{folder}/run")
     return stored.select("batch_date", F.explode("tables_processed").alias("table_name", "row_count"))
 
 
+@query("run_batch")
+def run_batch(t: DomainTables) -> DataFrame:
+    """The whole daily batch over the landed tables; rows of every table it wrote, from its record."""
+    folder = work_dir(t, "batch")
+    for name in TABLES:
+        sinks.write_table(t[name], f"{folder}/raw/{name}.parquet")
+    config = BatchConfig(f"{folder}/raw", f"{folder}/out", input_format="parquet", batch_date="2001-08-01")
+    data = batch.run_batch(t.spark, config)
+    stored = t.spark.read.schema("tables_processed map<string,bigint>").json(f"{folder}/out/metadata/batch_date=2001-08-01")
+    recorded = stored.select(F.explode("tables_processed").alias("table_name", "recorded_rows"))
+    return readers.row_counts(data).join(recorded, "table_name", "left")
+
+
 # --- named SQL reports --------------------------------------------------------------
 
 
@@ -874,6 +888,19 @@ def score_stream(t: DomainTables) -> DataFrame:
     return stream.flat_factors(scored)
 
 
+@query("score_stream_model")
+def score_stream_model(t: DomainTables) -> DataFrame:
+    """The churn model inside the stream, over the observed activity of all merchants."""
+    folder = work_dir(t, "stream-model")
+    merchants = t["merchants"]
+    sinks.write_table(merchants, f"{folder}/requests")
+    activity = cut_lineage(_churn_rows(t))
+    return stream.run_scoring(
+        t.spark, f"{folder}/requests", merchants.schema, f"{folder}/scored", f"{folder}/checkpoint",
+        stream.model_scorer(activity, churn_model(t)),
+    )
+
+
 # --- fitted models ------------------------------------------------------------------------------
 
 _MODELS: dict[tuple, object] = {}
@@ -1006,13 +1033,6 @@ def model_save_load(t: DomainTables) -> DataFrame:
     return models.predict_rate(rows, loaded).select("merchant_id", "recommended_rate")
 
 
-@query("model_status")
-def model_status(t: DomainTables) -> DataFrame:
-    return models.model_status(
-        t.spark, {"pricing_model": pricing_model(t), "churn_model": churn_model(t)}
-    )
-
-
 @query("sentiment_fit")
 def sentiment_fit(t: DomainTables) -> DataFrame:
     fitted = sentiment_model(t)

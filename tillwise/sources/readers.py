@@ -83,6 +83,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
+def files_state(spark: SparkSession, path: str) -> str:
+    """Newest change, bytes and number of the files below a path: what tells one state of an input
+    from the next."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    total = store.getContentSummary(place)
+    newest = store.getFileStatus(place).getModificationTime()
+    return f"{path}:{newest}:{total.getLength()}:{total.getFileCount()}"
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows per table as one DataFrame."""
     counts = [
