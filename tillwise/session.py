@@ -57,9 +57,24 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme that Spark resolves it to, so that tasks open the same place."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+
 def run_dir(spark: SparkSession, *parts: str) -> str:
-    """A path below the shared folder that belongs to this application only."""
-    return "/".join([shared_dir(spark), "tillwise", spark.sparkContext.applicationId, *parts])
+    """A path below the shared folder that belongs to this application only and goes with it: the
+    driver's file system deletes the application's folder when it ends."""
+    context = spark.sparkContext
+    own = f"{shared_dir(spark)}/tillwise/{context.applicationId}"
+    if getattr(context, "_tillwise_own_dir", None) != own:
+        place = spark._jvm.org.apache.hadoop.fs.Path(own)
+        store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        store.mkdirs(place)  # only a folder that exists can be marked
+        store.deleteOnExit(place)
+        context._tillwise_own_dir = own
+    return "/".join([own, *parts])
 
 
 def cut_lineage(df):
