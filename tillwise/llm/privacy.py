@@ -36,6 +36,9 @@ DISCOUNT = 0.5
 GENERALISE, REMOVE = 0.8, 0.95
 #: Up to so many disclosing terms travel with the plan; more are joined.
 TERMS_IN_PLAN = 2_000
+#: Terms of at most so many bytes in all are sent to every task, so that texts meet them where they
+#: are read and only hits are shuffled; more are met in a shuffle. The result is the same.
+BROADCAST_BYTES = 32 << 20
 
 SPAN = "struct<start:int,end:int,value:string>"
 NO_SPANS = f"CAST(array() AS array<{SPAN}>)"
@@ -132,10 +135,26 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
 
 
+def _everywhere_if_small(terms: DataFrame, most: int) -> DataFrame:
+    """``terms`` marked for broadcast if their measured size allows it."""
+    # An entry costs some 64 bytes besides its letters.
+    size = terms.agg(F.coalesce(F.sum(F.octet_length("term") + 64), F.lit(0))).first()[0]
+    return F.broadcast(terms) if size <= most else terms
+
+
 def disclosing_terms(
-    docs: DataFrame, discount: float = DISCOUNT, generalise: float = GENERALISE, remove: float = REMOVE
+    docs: DataFrame,
+    discount: float = DISCOUNT,
+    generalise: float = GENERALISE,
+    remove: float = REMOVE,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """``term``, ``strength`` (largest PMI / IC over entities) and ``action`` of disclosing terms."""
+    """``term``, ``strength`` (largest PMI / IC over entities) and ``action`` of disclosing terms.
+
+    Terms are words of three letters or more. The strength of a term met only once, with an entity
+    met only there, is 1 - 1 / log2(n): below 32 distinct texts such an entity has no term, and below
+    2^20 its terms are generalised, not removed. Null and empty texts have none; nor does an empty table.
+    """
 
     def named(kind: str) -> Column:
         return F.transform(f"_{kind}", lambda s: F.struct(F.lit(kind).alias("kind"), s.alias("span")))
@@ -174,9 +193,11 @@ def disclosing_terms(
     pairs = cut_lineage(pairs.join(entity_counts, "entity").select("term", "n_pair", "n_entity").distinct())
     # Distinct texts that have the term, and all of them. Counts fold before they meet the pairs.
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
+    wanted = cut_lineage(pairs.select("term").distinct())
     term_counts = (
         texts.distinct()
         .select(F.explode(_terms(F.col("text"))).alias("term"))
+        .join(_everywhere_if_small(wanted, broadcast_bytes), "term", "left_semi")
         .groupBy("term")
         .agg(F.count("*").alias("n_term"))
     )
@@ -193,7 +214,9 @@ def disclosing_terms(
     )
 
 
-def with_spans(docs: DataFrame, terms: DataFrame, terms_in_plan: int = TERMS_IN_PLAN) -> DataFrame:
+def with_spans(
+    docs: DataFrame, terms: DataFrame, terms_in_plan: int = TERMS_IN_PLAN, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """``docs`` with the arrays ``_email``, ``_ip``, ``_card``, ``_phone`` and ``_term`` of spans, and
     ``_strong_terms``, those of its terms that are to be removed.
 
@@ -211,10 +234,10 @@ def with_spans(docs: DataFrame, terms: DataFrame, terms_in_plan: int = TERMS_IN_
         own = docs.withColumn("_own_terms", F.array_intersect(_terms(text), every) if listed else none)
         own = own.withColumn("_strong_terms", F.array_intersect("_own_terms", strong))
     else:
-        key = F.xxhash64("doc_id", "text")
+        key = F.struct(F.xxhash64("doc_id", "text").alias("a"), F.xxhash64(F.lit(1), "text", "doc_id").alias("b"))
         hits = (
             docs.select(key.alias("_hit"), F.explode(_terms(text)).alias("term"))
-            .join(terms, "term")
+            .join(_everywhere_if_small(terms, broadcast_bytes), "term")
             .groupBy("_hit")
             .agg(
                 F.collect_set("term").alias("_found"),
