@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.session import run_dir
+from tillwise.session import qualified, run_dir
 
 #: A word, by the contract of all operators: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,8 +22,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name below the shared folder; every executor can reach it."""
-    return run_dir(spark, "llm", f"{name}-{uuid.uuid4().hex}")
+    """A new folder name below the shared folder, with its scheme; every executor can reach it."""
+    return qualified(spark, run_dir(spark, "llm", f"{name}-{uuid.uuid4().hex}"))
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -129,15 +129,22 @@ def is_held_out(doc_id: Column) -> Column:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> Trees:
-    """Trees fitted on labelled documents that are not held out, at most ``max_rows`` of them."""
+    """Trees fitted on labelled documents that are not held out, at most ``max_rows`` of them.
+
+    Of a doc_id that repeats one text counts, the least; a null text is empty. Without labelled
+    documents the trees score everything 0.5.
+    """
     sample = (
         labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~is_held_out(F.col("doc_id")))
         .orderBy(F.xxhash64("doc_id"), "doc_id", "quality")
         .limit(max_rows)
         .select(F.col("doc_id").alias("_labelled"), F.col("quality").cast("double").alias("_label"))
     )
-    chosen = docs.select("doc_id", "text").join(
-        F.broadcast(sample), F.col("doc_id") == F.col("_labelled")  # at most max_rows rows
+    chosen = (
+        docs.select("doc_id", "text")
+        .join(F.broadcast(sample), F.col("doc_id") == F.col("_labelled"))  # at most max_rows rows
+        .groupBy("doc_id", "_label")
+        .agg(F.min("text").alias("text"))
     )
 
     def describe(batches):
@@ -155,7 +162,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING
 
 
 def with_score(docs: DataFrame, trees: Trees, name: str = "score") -> DataFrame:
-    """``docs`` with the probability of label 1; whole texts, a null text counts as empty."""
+    """``docs`` with the probability of label 1; whole texts, a null text counts as empty, an empty
+    table stays empty."""
 
     def add(batches):
         for part, found in _in_blocks(batches):
@@ -166,6 +174,7 @@ def with_score(docs: DataFrame, trees: Trees, name: str = "score") -> DataFrame:
 
 
 def op4_quality(spark, sf_dir: str) -> DataFrame:
+    """Score of every document, by trees that saw no held-out label."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     trees = fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return with_score(docs, trees).select(
