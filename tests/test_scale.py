@@ -40,6 +40,8 @@ def test_no_cross_join_and_no_python(spark, sf_dir, name):
 def test_date_windows_reach_the_scan(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir))
     assert re.search(r"PushedFilters: \[[^]]*Greater\w*\(date,", text), text
+    filters = re.findall(r"PartitionFilters: \[([^]]*)\]", text)
+    assert any("year" in f and "month" in f and ">=" in f for f in filters), filters
 
 
 @pytest.mark.parametrize(
@@ -175,3 +177,50 @@ def test_texts_stay_out_of_the_dedup_shuffle(spark, tables):
     rows = spark.createDataFrame([("a", "b", 0.0), ("ab", "", 0.0), ("a", "b", -0.0), (None, "-", 1.0), ("-", None, 1.0)], "x string, y string, z double")
     got = readers.duplicate_report({"r": rows}).first()
     assert (got.row_count, got.distinct_rows, got.removed) == (5, 4, 1)
+
+
+def test_windows_list_only_their_months(spark, sf_dir, tables):
+    """The months condition prunes folders at run time and never changes the rows."""
+    from tillwise.sources.layout import by_month, since
+
+    facts = tables["transactions"]
+    start = facts.agg(F.date_sub(F.max("date"), 40)).scalar()
+    kept, everything = since(facts, start), facts.where(F.col("date") >= start)
+    assert by_month(facts) and kept.count() == everything.count() > 0
+    kept.collect()
+    scan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in scan
+    files = {f for (f,) in kept.select(F.input_file_name()).distinct().collect()}
+    assert 0 < len(files) <= 3 * 8 and len(files) < len(facts.inputFiles()) / 10
+    plain = facts.select(*[F.col(c).alias(c, metadata={}) for c in facts.columns])
+    assert not by_month(plain) and since(plain, start, strict=True).count() == facts.where(F.col("date") > start).count()
+
+
+def test_versions_are_reused_and_old_ones_go(spark, sf_dir, tmp_path):
+    import os
+    import shutil
+
+    from tillwise.sources.derived import DomainTables
+
+    source = str(tmp_path / "in")
+    shutil.copytree(sf_dir, source)
+    tables = DomainTables(spark, source)
+    rows = tables["transactions"].count()
+    folder = tables._versions("transactions").folder
+
+    def versions():
+        return {v: os.stat(f"{folder}/{v}/_SUCCESS").st_mtime_ns for v in os.listdir(folder) if v.startswith("v-")}
+
+    first = versions()
+    DomainTables.forget_landed()  # as a later session would begin
+    assert DomainTables(spark, source)["transactions"].count() == rows and versions() == first
+    seen = set(first)
+    for n in range(2):
+        stamp = 1_000_000_000 + n
+        os.utime(f"{source}/orders.parquet", (stamp, stamp))
+        assert DomainTables(spark, source)["transactions"].count() == rows
+        seen |= set(versions())
+    assert len(seen) == 3 and len(versions()) == 2 and not set(first) & set(versions())
+    assert not [v for v in os.listdir(folder) if v.startswith("writing")]
+    tables.discard_landed()
+    assert not os.path.exists(folder)

@@ -9,6 +9,7 @@ from tillwise import constants as k
 from tillwise.functions.expressions import as_double, ratio, right_closed_band, total
 from tillwise.operators.aggregates import monthly_totals, take_rate_by_tier
 from tillwise.operators.profiling import histogram
+from tillwise.sources.layout import since
 
 
 def monthly_report(
@@ -25,7 +26,7 @@ def monthly_report(
     )
     if report_month is None:
         first = transactions.agg(F.add_months(F.trunc(F.max("date"), "MM"), -1)).scalar()
-        window = F.col("date") >= first
+        window = since(transactions, first)
         # months are at most the newest and the one before it
         current = F.max_by(facts, "month_start")
         prior = F.when(F.count("*") > 1, F.min_by(facts, "month_start"))
@@ -33,14 +34,11 @@ def monthly_report(
     else:
         year, month = (int(part) for part in report_month.split("-"))
         start = F.make_date(F.lit(year), F.lit(month), F.lit(1))
-        window = (F.col("date") >= F.add_months(start, -1)) & (
-            F.col("date") < F.add_months(start, 1)
-        )
+        window = since(transactions, F.add_months(start, -1), F.add_months(start, 1))
         current = F.max(F.when(F.col("month_start") == start, facts))
         prior = F.max(F.when(F.col("month_start") < start, facts))
     totals = (
-        transactions.where(window)
-        .groupBy(F.trunc("date", "MM").alias("month_start"))
+        window.groupBy(F.trunc("date", "MM").alias("month_start"))
         .agg(
             F.count("*").alias("n"),
             F.sum("amount_usd").alias("v"),

@@ -8,14 +8,15 @@ report afterwards is a pruned, filtered scan instead of a repeated four-way join
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.schemas import schema_of
-from tillwise.session import run_dir
+from tillwise.session import qualified
+from tillwise.sources import layout
+from tillwise.sources.readers import files_state
 
 # --- fixed values: derivation of the domain columns (Spark SQL) --------------
 MONTHLY_VOLUME = (
@@ -176,6 +177,20 @@ EXPERIMENT_OUTCOME = {
 }
 
 
+#: What the landed tables depend on besides their inputs: another derivation lands anew.
+DERIVATION = layout.digest(
+    *(
+        repr(x)
+        for x in (
+            MONTHLY_VOLUME, MERCHANT_COLUMNS, USER_COLUMNS, TRANSACTION_SUPPLIER, TRANSACTION_BASE, TRANSACTION_FEES,
+            NET_AMOUNT, EXPERIMENT_KEYS, EXPERIMENT_OUTCOME, "by month",
+        )
+    )
+)
+#: Months of order lines that a file of facts is sized for, and about how many bytes it has.
+MONTHS_OF_FACTS, FILE_BYTES = 80, 128 << 20
+
+
 def _exprs(columns: Mapping[str, str]) -> list[str]:
     return [f"{expression} AS {name}" for name, expression in columns.items()]
 
@@ -310,6 +325,7 @@ class DomainTables(Mapping[str, DataFrame]):
     """
 
     LANDED = ("merchants", "transactions", "pricing_experiments")
+    BY_MONTH = ("transactions",)
     NAMES = ("merchants", "users", "transactions", "pricing_experiments", "feedback")
     _landed: dict[tuple[str, str, str, str], str] = {}
 
@@ -328,7 +344,9 @@ class DomainTables(Mapping[str, DataFrame]):
         if name not in self.NAMES:
             raise KeyError(name)
         if self.land and name in self.LANDED:
-            return self.spark.read.schema(schema_of(name)).parquet(self._land(name))
+            schema = schema_of(name)
+            landed = self.spark.read.schema(schema).parquet(self._land(name)).select(*schema.names)
+            return layout.marked(landed) if name in self.BY_MONTH else landed
         return self.derive(name)
 
     def derive(self, name: str) -> DataFrame:
@@ -345,34 +363,46 @@ class DomainTables(Mapping[str, DataFrame]):
 
     @classmethod
     def forget_landed(cls) -> None:
-        """Lands every table again on its next use; written folders are left alone."""
+        """Looks for every landed table again on its next use."""
         cls._landed.clear()
 
+    def discard_landed(self) -> None:
+        """Deletes the landed versions of this folder."""
+        self.forget_landed()
+        for name in self.LANDED:
+            self._versions(name).discard()
+
+    INPUTS = ("supplier", "customer", "part", "orders", "lineitem", "nation", "region", "documents", "labels")
+
     def input_state(self) -> str:
         """Newest change, size and file count of the inputs, so changed input lands anew."""
-        jvm = self.spark._jvm
-        conf = self.spark._jsc.hadoopConfiguration()
-        state = []
-        for name in ("supplier", "customer", "part", "orders", "lineitem", "nation", "region", "documents", "labels"):
-            path = jvm.org.apache.hadoop.fs.Path(self.star.path(name))
-            fs = path.getFileSystem(conf)
-            total = fs.getContentSummary(path)
-            state += [
-                fs.getFileStatus(path).getModificationTime(),
-                total.getLength(),
-                total.getFileCount(),
-            ]
-        return "-".join(str(v) for v in state)
+        return "|".join(files_state(self.spark, self.star.path(name)) for name in self.INPUTS)
+
+    def _versions(self, name: str) -> layout.Versions:
+        return layout.Versions(self.spark, qualified(self.spark, self.star.sf_dir), name)
+
+    def _splits(self) -> int:
+        """Files per month of facts: about one per 128 MB of what a month of order lines has."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        place = hadoop.Path(self.star.path("lineitem"))
+        size = place.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+        return max(1, -(-size // (MONTHS_OF_FACTS * FILE_BYTES)))
 
     def _land(self, name: str) -> str:
-        key = (self.spark.sparkContext.applicationId, self.star.sf_dir, self.input_state(), name)
+        """The folder of the table's version for the state of its inputs and of its derivation."""
+        state = f"{self.input_state()}|{DERIVATION}"
+        key = (self.spark.sparkContext.applicationId, self.star.sf_dir, state, name)
         if key not in self._landed:
-            target = run_dir(self.spark, "landed", f"{name}-{uuid.uuid4().hex[:8]}")
-            df = self.derive(name)
-            if name == "transactions":
-                # A local sort per task: no shuffle, and row groups then carry narrow date
-                # ranges, so recent-window filters skip most of each file.
-                df = df.sortWithinPartitions("date")
-            df.write.mode("overwrite").parquet(target)
-            self._landed[key] = target
+            versions = self._versions(name)
+            self._landed[key] = versions.found(state) or versions.add(state, lambda path: self._write(name, path))
         return self._landed[key]
+
+    def _write(self, name: str, path: str) -> None:
+        df = self.derive(name)
+        if name in self.BY_MONTH:
+            # One shuffle by month: each file has one month, its rows by date.
+            split = F.pmod(F.xxhash64("transaction_id"), F.lit(self._splits()))
+            dealt = df.repartition("year", "month", split).sortWithinPartitions("year", "month", "date")
+            dealt.write.partitionBy("year", "month").parquet(path)
+        else:
+            df.write.parquet(path)
