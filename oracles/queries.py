@@ -233,6 +233,18 @@ GROUP BY pricing_tier""".replace("FROM merchants WHERE large", "FROM flagged WHE
        """flagged AS (SELECT *, monthly_volume_usd > 5000 AND pricing_tier = 'standard' AS large
   FROM merchants)""")
 
+oracle("update_in_place", T, """
+SELECT status, count(*) AS transactions, cast(sum(net_amount_usd) AS double) AS net_amount_usd,
+  (SELECT count(*) FROM flagged WHERE late) AS updated_rows,
+  (SELECT count(*) FROM flagged WHERE early) AS deleted_rows,
+  (SELECT count(*) FROM flagged WHERE date = DATE '2001-07-01') AS inserted_rows
+FROM (SELECT CASE WHEN late THEN 'failed' ELSE status END AS status,
+        CASE WHEN late THEN 0 ELSE net_amount_usd END AS net_amount_usd
+      FROM flagged WHERE NOT early
+      UNION ALL SELECT status, net_amount_usd FROM flagged WHERE date = DATE '2001-07-01')
+GROUP BY status""", """flagged AS (SELECT *, date >= DATE '2001-07-01' AND status = 'pending' AS late,
+    date < DATE '1995-02-01' AND status = 'failed' AS early FROM transactions)""")
+
 oracle("run_all_queries", ("merchants", "users", "transactions"), "\nUNION ALL ".join(
     f"SELECT '{name}' AS query, 'ok' AS status, count(*) AS row_count FROM ({ORACLES[name]})"
     for name in CATALOG

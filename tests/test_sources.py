@@ -262,3 +262,31 @@ def test_stream_scores_each_request_once(spark, tables, tmp_path):
     sinks.write_table(late, folder, "append")
     more = stream.run_scoring(spark, folder, requests.schema, out, mark, timeout=120)
     assert more.count() == requests.count() + 3
+
+
+def test_changes_rewrite_only_touched_files(spark, tmp_path):
+    from tillwise.sources.versioned import Conflict, VersionedTable
+
+    folder = str(tmp_path / "t")
+    rows = spark.range(1000).select("id", (F.col("id") % 7).alias("k"), F.lit("x").alias("v")).repartitionByRange(5, "id")
+    table = VersionedTable.create(spark, folder, rows)
+    first = table.files()
+    assert len(first) == 5 and table.read().count() == 1000
+    assert table.update(F.col("id") < 10, {"v": F.lit("y")}) == 10
+    second = table.files()
+    assert len(set(first) & set(second)) == 4
+    assert table.read().where("v = 'y'").count() == 10 and table.read(1).where("v = 'y'").count() == 0
+    assert table.delete(F.col("id") >= 990) == 10 and len(set(table.files()) & set(second)) == 4
+    assert table.delete(F.col("v").isNull()) == 0 and table.versions() == [1, 2, 3]
+    assert table.insert(rows.where("id = 999")) == 1 and table.read().count() == 991
+    with pytest.raises(ValueError, match="unknown columns"):
+        table.update(F.col("id") < 10, {"w": F.lit("y")})
+    with pytest.raises(Conflict):
+        VersionedTable.create(spark, folder, rows)
+    with pytest.raises(Conflict):
+        table._publish(2, {})
+    assert table.read().count() == 991
+    assert table.vacuum(keep=1) >= 1 and table.versions() == [4] and table.read().count() == 991
+    assert table.delete(F.lit(True)) == 991 and table.read().count() == 0
+    assert table.delete(F.lit(True)) == 0 and table.update(F.lit(True), {"v": F.lit("z")}) == 0
+    assert table.insert(rows.limit(3)) == 3 and table.read().count() == 3

@@ -23,6 +23,7 @@ from tillwise.schemas import TABLES, schema_of
 from tillwise.session import cut_lineage, run_dir
 from tillwise.sources import readers, sinks
 from tillwise.sources.derived import DomainTables, StarTables
+from tillwise.sources.versioned import VersionedTable
 from tillwise.streaming import scoring as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -174,6 +175,24 @@ def run_query(t: DomainTables) -> DataFrame:
     return catalog.run_query(t.spark, t, "category_performance", dt.date(2001, 3, 31))
 
 
+@query("update_in_place")
+def update_in_place(t: DomainTables) -> DataFrame:
+    """Corrections of facts that rewrite only the files with touched rows."""
+    facts = t["transactions"].repartitionByRange("date").sortWithinPartitions("date")
+    table = VersionedTable.create(t.spark, work_dir(t, "in-place") + "/transactions", facts)
+    early, late = F.to_date(F.lit("1995-02-01")), F.to_date(F.lit("2001-07-01"))
+    late_pending = (F.col("date") >= late) & (F.col("status") == "pending")
+    steps = {
+        "updated": table.update(late_pending, {"status": F.lit("failed"), "net_amount_usd": F.lit(0)}),
+        "deleted": table.delete((F.col("date") < early) & (F.col("status") == "failed")),
+        "inserted": table.insert(t["transactions"].where(F.col("date") == late)),
+    }
+    counted = table.read().groupBy("status").agg(
+        F.count("*").alias("transactions"), F.sum("net_amount_usd").cast("double").alias("net_amount_usd")
+    )
+    return counted.withColumns({f"{n}_rows": F.lit(v).cast("bigint") for n, v in steps.items()})
+
+
 @query("run_all_queries")
 def run_all_queries(t: DomainTables) -> DataFrame:
     _, status = catalog.run_all_queries(t.spark, t)
