@@ -6,9 +6,9 @@ plans of the Spark side rather than repeating them.
 
 from __future__ import annotations
 
+from oracles import values as k
 from oracles.domain import dbl, rnd, with_tables
-from tillwise import constants as k
-from tillwise.functions.text import SPACE_POINTS
+from oracles.values import SPACE_POINTS
 from tillwise.plans.catalog import CATALOG
 from tillwise.schemas import TABLES, schema_of
 

@@ -67,3 +67,26 @@ def test_foreign_keys_hold(spark, tables):
     assert facts.join(tables["merchants"], "merchant_id", "left_anti").isEmpty()
     assert facts.join(tables["users"], "user_id", "left_anti").isEmpty()
     assert facts.select("transaction_id").distinct().count() == facts.count()
+
+
+def test_twins_hold_their_own_values():
+    """The twins' values and derivations are written out; equal ones are no import."""
+    from pathlib import Path
+
+    from oracles import values
+    from tillwise import constants
+    from tillwise.functions import text
+
+    for name in (n for n in vars(values) if n.isupper()):
+        assert getattr(values, name) == getattr(text if name == "SPACE_POINTS" else constants, name), name
+    for path in (Path(driver.__file__).parent / "oracles").glob("*.py"):
+        assert "tillwise.sources" not in path.read_text() and "tillwise import constants" not in path.read_text()
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01", "sf0.1"])
+def test_every_order_line_is_a_transaction(spark, size):
+    from tillwise.sources.derived import DomainTables
+
+    tables = DomainTables(spark, f"/root/testdata/{size}")
+    lines = spark.read.parquet(f"/root/testdata/{size}/lineitem.parquet").count()
+    assert tables["transactions"].count() == lines
