@@ -804,6 +804,42 @@ FROM (SELECT merchant_id, business_category AS segment,
     coalesce(elasticity, -5e-1) AS y
   FROM merchants LEFT JOIN e ON merchant_segment = business_category)""", ELASTICITY)
 
+# --- fits ------------------------------------------------------------------------------------
+
+
+def hashed(seed: int) -> str:
+    return f"cast('0x' || substr(md5(merchant_id || ':{seed}'), 1, 8) AS bigint)"
+
+
+def parts_of(cuts: list[str], seed: int) -> str:
+    """How many exact quantiles of the hash within the label lie below a row's hash."""
+    limits = " + ".join(
+        f"(h{seed} > min(h{seed}) FILTER (r{seed} >= greatest(ceil(round({c} * n, 6)), 1)) OVER (PARTITION BY churned))::int"
+        for c in cuts
+    )
+    return f"({limits})"
+
+
+oracle("pricing_splits", M, f"""
+SELECT merchant_id, {hashed(42)} % 100 < 20 AS is_test, cast({hashed(7)} % 5 AS int) AS fold FROM merchants""")
+oracle("churn_splits", MT, f"""
+SELECT merchant_id, churned, {parts_of(["2e-1"], 42)} = 0 AS is_test,
+  cast({parts_of(["2e-1", "4e-1", "6e-1", "8e-1"], 7)} AS int) AS fold
+FROM numbered""", f"""{LABELS},
+numbered AS (SELECT merchant_id, churned, h42, h7, count(*) OVER (PARTITION BY churned) AS n,
+    count(*) OVER (PARTITION BY churned ORDER BY h42) AS r42, count(*) OVER (PARTITION BY churned ORDER BY h7) AS r7
+  FROM (SELECT *, {hashed(42)} AS h42, {hashed(7)} AS h7 FROM labels))""")
+oracle("pricing_fit_checked", M, f"""
+SELECT count(*) AS test_rows, true AS errors_in_bounds, true AS importances_sum_to_one, 12 AS features
+FROM merchants WHERE {hashed(42)} % 100 < 20""")
+oracle("churn_fit_checked", (), "SELECT true AS auc_in_bounds, true AS importances_sum_to_one, 16 AS features")
+oracle("pricing_predict_checked", M, "SELECT merchant_id, true AS rate_in_bounds FROM merchants")
+oracle("churn_predict_checked", MT, """
+SELECT merchant_id, churned, true AS probability_in_bounds, true AS label_follows FROM labels""", LABELS)
+oracle("model_save_load_checked", M, "SELECT merchant_id, true AS same_rate FROM merchants")
+oracle("sentiment_checked", ("feedback",), """
+SELECT feedback_id, sentiment_label, true AS known_label, true AS confidence_in_bounds FROM feedback""")
+
 # --- text ----------------------------------------------------------------------------------
 
 

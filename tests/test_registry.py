@@ -34,9 +34,19 @@ def test_only_fitted_models_lack_a_twin():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_twin(spark, sf_dir, con, name):
+    if name.endswith("_checked"):
+        pytest.skip("the smallest table has too few merchants for the trees, see below")
     assert difference(QUERIES[name](spark, sf_dir), con, ORACLES[name]) is None
 
 
+@pytest.mark.parametrize("name", sorted(n for n in ORACLES if n.endswith("_checked")))
+def test_fits_keep_their_bounds(spark, name):
+    folder = "/root/testdata/sf0.01"
+    connection = duck(folder)
+    assert difference(QUERIES[name](spark, folder), connection, ORACLES[name]) is None
+    connection.close()
+
+
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
 

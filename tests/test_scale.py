@@ -20,7 +20,9 @@ EFFECTS = {
     "export_queries_csv", "write_aggregates", "run_metadata", "score_stream", "pricing_fit",
     "pricing_predict", "pricing_recommendations_model", "total_impact_model", "churn_fit",
     "churn_predict", "risk_tiers_model", "score_pricing_model", "score_churn_model",
-    "model_save_load", "run_batch", "update_in_place", "score_stream_model", "sentiment_fit", "sentiment_ml", "sentiment_hybrid",
+    "model_save_load", "run_batch", "update_in_place", "pricing_splits", "churn_splits",
+    "pricing_fit_checked", "churn_fit_checked", "pricing_predict_checked", "churn_predict_checked",
+    "model_save_load_checked", "sentiment_checked", "score_stream_model", "sentiment_fit", "sentiment_ml", "sentiment_hybrid",
 }
 
 

@@ -155,6 +155,23 @@ def _prepare(
     return cut_lineage(rows)
 
 
+def pricing_rows(
+    merchants: DataFrame, transactions: DataFrame, params: BoostingParams = BoostingParams()
+) -> DataFrame:
+    """What the fee-rate model is fitted on: inputs, label, split and fold of every merchant."""
+    return _prepare(pricing_training(merchants, transactions), k.PRICING_NUMERICS, "optimal_fee_rate", params)
+
+
+def churn_rows(
+    merchants: DataFrame,
+    transactions: DataFrame,
+    params: BoostingParams = BoostingParams(),
+    numerics: list[str] = k.CHURN_NUMERICS,
+) -> DataFrame:
+    """What the churn model is fitted on; splits and folds have their share of each label."""
+    return _prepare(churn_training(merchants, transactions), numerics, "churned", params, stratify=True)
+
+
 def pricing_training(merchants: DataFrame, transactions: DataFrame) -> DataFrame:
     """Target rates with the observed mean size as ``avg_transaction_size``."""
     return optimal_rate(merchants, transactions).withColumn(
@@ -171,9 +188,7 @@ def _auc() -> BinaryClassificationEvaluator:
 
 
 def _pricing_estimator(merchants: DataFrame, transactions: DataFrame, params: BoostingParams):
-    rows = _prepare(
-        pricing_training(merchants, transactions), k.PRICING_NUMERICS, "optimal_fee_rate", params
-    )
+    rows = pricing_rows(merchants, transactions, params)
     stages, names = _feature_stages(k.PRICING_NUMERICS, k.MODEL_CATEGORICALS)
     booster = GBTRegressor(
         featuresCol="features", labelCol="label", maxBins=_bins(rows, k.MODEL_CATEGORICALS),
@@ -231,7 +246,7 @@ def churn_training(merchants: DataFrame, transactions: DataFrame) -> DataFrame:
 
 def _churn_estimator(merchants, transactions, params: BoostingParams, exclude_leaky: bool):
     numerics = [c for c in k.CHURN_NUMERICS if not (exclude_leaky and c == "days_since_last_txn")]
-    rows = _prepare(churn_training(merchants, transactions), numerics, "churned", params, stratify=True)
+    rows = churn_rows(merchants, transactions, params, numerics)
     stages, names = _feature_stages(numerics, k.MODEL_CATEGORICALS)
     booster = GBTClassifier(
         featuresCol="features", labelCol="label", maxBins=_bins(rows, k.MODEL_CATEGORICALS),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -18,19 +18,55 @@ def hash_bucket(key: str, buckets: int, seed: int = 42) -> Column:
     return F.pmod(hash_number(key, seed), F.lit(buckets)).cast("int")
 
 
+def exact_cuts(df: DataFrame, label: str, number: Column, cuts: list[float]) -> DataFrame:
+    """``_label`` and ``_limits``: per label the least number that at least each share of its rows does
+    not exceed.
+
+    Numbers have 32 bits. Counts by their upper half find the half that holds each rank, counts by the
+    lower half inside it the number itself, so at most 2^16 rows of a label meet at either level.
+    """
+    halves = df.select(
+        F.col(label).alias("_label"), F.shiftright(number, 16).alias("_top"), number.bitwiseAND(65535).alias("_low")
+    )
+    tops = halves.groupBy("_label", "_top").agg(F.count("*").alias("n"))
+    of_label = Window.partitionBy("_label")
+    shares = F.array(*[F.struct(F.lit(i).alias("at"), F.lit(c).alias("share")) for i, c in enumerate(cuts)])
+    placed = tops.select(
+        "_label", "_top", "n",
+        F.sum("n").over(of_label.orderBy("_top")).alias("upto"),
+        F.sum("n").over(of_label).alias("total"),
+        F.explode(shares).alias("cut"),
+    )
+    wanted = F.greatest(F.ceil(F.round(F.col("cut.share") * F.col("total"), 6)), F.lit(1))
+    chosen = placed.where((F.col("upto") >= wanted) & (F.col("upto") - F.col("n") < wanted)).select(
+        F.col("_label").alias("_of"), F.col("_top").alias("_in"), "cut.at", (wanted - F.col("upto") + F.col("n")).alias("rank")
+    )
+    lows = halves.groupBy("_label", "_top", "_low").agg(F.count("*").alias("n"))
+    # One row per label and cut.
+    inside = lows.join(F.broadcast(chosen), F.col("_label").eqNullSafe(F.col("_of")) & (F.col("_top") == F.col("_in")))
+    upto = F.sum("n").over(Window.partitionBy("_label", "at").orderBy("_low"))
+    return (
+        inside.withColumn("upto", upto)
+        .where(F.col("upto") >= F.col("rank"))
+        .groupBy("_label", "at")
+        .agg(F.min(F.shiftleft("_top", 16) + F.col("_low")).alias("limit"))
+        .groupBy("_label")
+        .agg(F.sort_array(F.collect_list(F.struct("at", "limit"))).alias("found"))
+        .select("_label", F.transform("found", lambda x: x["limit"]).alias("_limits"))
+    )
+
+
 def stratified(
     df: DataFrame, key: str, label: str, shares: dict[str, list[float]], seed: int = 42
 ) -> DataFrame:
     """Adds a part number per entry of ``shares`` (cumulative cuts in (0, 1)), so that each part has
-    its share of every label: the cuts are quantiles of the key's hash within the label.
+    its share of every label: the cuts are exact quantiles of the key's hash within the label.
 
-    Quantiles come from mergeable sketches, one row per label; no label is gathered in one task.
+    Labels have to be classes: the limits are one row per label.
     """
     number = hash_number(key, seed)
     for name, cuts in shares.items():
-        limits = df.groupBy(F.col(label).alias("_label")).agg(
-            F.percentile_approx(number, cuts, 100_000).alias("_limits")
-        )
+        limits = exact_cuts(df, label, number, cuts)
         df = (
             df.join(limits, F.col(label).eqNullSafe(F.col("_label")), "left")
             .withColumn(name, F.size(F.filter("_limits", lambda x: x < number)))

@@ -952,6 +952,85 @@ def sentiment_model(t: DomainTables) -> sentiment.SentimentFit:
     return _fitted(t, "sentiment", lambda: sentiment.fit_sentiment(t["feedback"]))
 
 
+# What can be stated exactly about a fit: its rows, splits and folds, and that results keep their bounds.
+
+
+@query("pricing_splits")
+def pricing_splits(t: DomainTables) -> DataFrame:
+    rows = models.pricing_rows(t["merchants"], t["transactions"])
+    return rows.select("merchant_id", "is_test", "fold")
+
+
+@query("churn_splits")
+def churn_splits(t: DomainTables) -> DataFrame:
+    rows = models.churn_rows(t["merchants"], t["transactions"])
+    return rows.select("merchant_id", F.col("label").cast("int").alias("churned"), "is_test", "fold")
+
+
+def _sound(fitted: models.FittedModel) -> Column:
+    weights = [w for _, w in fitted.importances]
+    return F.lit(abs(sum(weights) - 1) < 1e-6 and min(weights) >= 0)
+
+
+@query("pricing_fit_checked")
+def pricing_fit_checked(t: DomainTables) -> DataFrame:
+    fitted = pricing_model(t)
+    return fitted.metrics.select(
+        F.col("rows").cast("bigint").alias("test_rows"),
+        ((F.col("mae") >= 0) & (F.col("mae") <= F.col("rmse") + 1e-12) & (F.col("mae") < 0.005)).alias("errors_in_bounds"),
+        _sound(fitted).alias("importances_sum_to_one"),
+        F.lit(len(fitted.feature_names)).alias("features"),
+    )
+
+
+@query("churn_fit_checked")
+def churn_fit_checked(t: DomainTables) -> DataFrame:
+    fitted = churn_model(t)
+    return fitted.metrics.select(
+        F.col("auc_roc").between(0.5, 1).alias("auc_in_bounds"),
+        _sound(fitted).alias("importances_sum_to_one"),
+        F.lit(len(fitted.feature_names)).alias("features"),
+    )
+
+
+@query("pricing_predict_checked")
+def pricing_predict_checked(t: DomainTables) -> DataFrame:
+    allowed = F.col("recommended_rate").between(k.MIN_RATE, k.MAX_RATE)
+    return _predicted_rates(t).select("merchant_id", allowed.alias("rate_in_bounds"))
+
+
+@query("churn_predict_checked")
+def churn_predict_checked(t: DomainTables) -> DataFrame:
+    p = F.col("churn_probability")
+    return models.predict_churn(_churn_rows(t), churn_model(t)).select(
+        "merchant_id", "churned", p.between(0, 1).alias("probability_in_bounds"),
+        ((p >= 0.5).cast("int") == F.col("predicted_churn")).alias("label_follows"),
+    )
+
+
+@query("model_save_load_checked")
+def model_save_load_checked(t: DomainTables) -> DataFrame:
+    """A model read back gives every merchant the rate of the model that was saved."""
+    path = work_dir(t, "model") + "/pricing_model"
+    loaded = models.load_model(models.save_model(pricing_model(t), path))
+    rows = models.pricing_training(t["merchants"], t["transactions"])
+    again = models.predict_rate(rows, loaded).select(F.col("merchant_id").alias("m"), F.col("recommended_rate").alias("r"))
+    both = _predicted_rates(t).join(again, F.col("merchant_id") == F.col("m"))
+    return both.select("merchant_id", (F.col("recommended_rate") == F.col("r")).alias("same_rate"))
+
+
+@query("sentiment_checked")
+def sentiment_checked(t: DomainTables) -> DataFrame:
+    fitted = sentiment_model(t)
+    scored = sentiment.sentiment_ml(t["feedback"], fitted)
+    least = 1 / len(fitted.labels) - 0.001
+    return scored.select(
+        "feedback_id", "sentiment_label",
+        F.col("ml_sentiment").isin(fitted.labels).alias("known_label"),
+        F.col("ml_confidence").between(least, 1).alias("confidence_in_bounds"),
+    )
+
+
 @query("pricing_fit")
 def pricing_fit(t: DomainTables) -> DataFrame:
     fitted = pricing_model(t)
