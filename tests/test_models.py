@@ -122,3 +122,19 @@ def test_splits_repeat(data):
     m = data[0].select("merchant_id", hash_bucket("merchant_id", 5).alias("b"))
     assert m.exceptAll(m.repartition(7)).isEmpty()
     assert m.select("b").distinct().count() == 5
+
+
+def test_cuts_are_exact(spark):
+    """Against plain sorting, with ties and labels of one row."""
+    import math
+
+    from tillwise.operators.splits import exact_cuts
+
+    rows = [("a", (i * 2654435761) % (1 << 32)) for i in range(500)] + [("a", 77)] * 200 + [("b", 5)]
+    rows += [(None, (i * 40503) % (1 << 20)) for i in range(33)]
+    cuts = [0.1, 0.25, 0.5, 0.99]
+    found = exact_cuts(spark.createDataFrame(rows, "g string, h long"), "g", F.col("h"), cuts).collect()
+    for r in found:
+        values = sorted(h for g, h in rows if g == r._label)
+        assert r._limits == [values[max(math.ceil(round(c * len(values), 6)), 1) - 1] for c in cuts]
+    assert len(found) == 3

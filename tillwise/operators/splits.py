@@ -35,8 +35,7 @@ def exact_cuts(df: DataFrame, label: str, number: Column, cuts: list[float]) ->
         "_label", "_top", "n",
         F.sum("n").over(of_label.orderBy("_top")).alias("upto"),
         F.sum("n").over(of_label).alias("total"),
-        F.explode(shares).alias("cut"),
-    )
+    ).withColumn("cut", F.explode(shares))  # not beside the sums: rows would be multiplied first
     wanted = F.greatest(F.ceil(F.round(F.col("cut.share") * F.col("total"), 6)), F.lit(1))
     chosen = placed.where((F.col("upto") >= wanted) & (F.col("upto") - F.col("n") < wanted)).select(
         F.col("_label").alias("_of"), F.col("_top").alias("_in"), "cut.at", (wanted - F.col("upto") + F.col("n")).alias("rank")
