@@ -21,7 +21,7 @@ UNUSUAL = re.compile(
 )
 #: Bytes of pieces and ids that one generation of a worker's memory holds, and what an entry costs
 #: besides; two generations are kept (speed only). Longer pieces are not kept.
-GENERATION_BYTES, ENTRY_BYTES, LONGEST_KEPT = 96 << 20, 160, 1024
+GENERATION_BYTES, ENTRY_BYTES, LONGEST_KEPT = 48 << 20, 160, 1024
 #: Bytes of text that are cut into pieces at once.
 BLOCK_BYTES = 4 << 20
 #: Marks that are cut off before a piece is looked up.
@@ -155,18 +155,15 @@ class Encoder:
             ids = [known[p] for p in bare]
         else:
             ids = self._lookup(distinct)
-        flat = np.frombuffer(b"".join(i or b"" for i in ids), self.type)
-        lengths = np.array([len(i or b"") for i in ids], dtype=np.int64) // self.type.itemsize
-        heads = np.cumsum(lengths) - lengths
-        which = numbered.indices.to_numpy()
-        counts = lengths[which]
-        upto = np.r_[0, np.cumsum(counts)]
-        out = flat[np.repeat(heads[which] - upto[:-1], counts) + np.arange(upto[-1])]
+        gathered = pa.array([i or b"" for i in ids], pa.binary()).take(numbered.indices)
+        _, upto, joined = gathered.buffers()
+        upto = np.frombuffer(upto, np.int32)[: len(cuts) + 1] // self.type.itemsize
+        out = np.frombuffer(joined or b"", self.type)
         place = np.searchsorted(cuts, np.r_[0, ends])
         found = [out[upto[a] : upto[b]] for a, b in zip(place[:-1].tolist(), place[1:].tolist())]
         whole = np.array([i is False for i in ids], dtype=bool)
         if whole.any():
-            owner = np.searchsorted(ends, cuts[whole[which]], side="right")
+            owner = np.searchsorted(ends, cuts[whole[numbered.indices.to_numpy()]], side="right")
             for i in np.unique(owner).tolist():
                 found[i] = np.array(self.library.encode(texts[i], add_special_tokens=False).ids, dtype=self.type)
         return found
