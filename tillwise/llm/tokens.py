@@ -21,9 +21,9 @@ UNUSUAL = re.compile(
 )
 #: Bytes of pieces and ids that one generation of a worker's memory holds, and what an entry costs
 #: besides; two generations are kept (speed only). Longer pieces are not kept.
-GENERATION_BYTES, ENTRY_BYTES, LONGEST_KEPT = 48 << 20, 160, 1024
+GENERATION_BYTES, ENTRY_BYTES, LONGEST_KEPT = 96 << 20, 160, 1024
 #: Bytes of text that are cut into pieces at once.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Marks that are cut off before a piece is looked up.
 MARKS = ",.;:!?"
 
@@ -40,15 +40,18 @@ def split_mark(piece: str) -> tuple[str, str]:
     return piece, ""
 
 
-_SPACE = np.zeros(256, dtype=bool)
+_SPACE, _LETTER, _MARK = np.zeros((3, 256), dtype=bool)
 _SPACE[[9, 10, 13, 32]] = True
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK[list(MARKS.encode())] = True
 
 
 def cut_at_spaces(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Where pieces begin in texts that follow each other in ``data``, beginning at ``starts``.
 
     A byte-level tokenizer cuts at white space so: the last character of a run belongs to the word
-    behind it if it is a space and stands alone otherwise; what is before it is a piece.
+    behind it if it is a space and stands alone otherwise; what is before it is a piece. A closing mark
+    behind an ASCII letter is a piece of its own for both tokenizers.
     """
     n = len(data)
     first = np.zeros(n + 1, dtype=bool)
@@ -63,6 +66,9 @@ def cut_at_spaces(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     cuts[begins] = True
     cuts[ends_word - 1] = True
     cuts[ends_word[data[ends_word - 1] != 32]] = True
+    closing = np.flatnonzero(~space[:-1] & (space[1:] | first[1:]) & ~first[:-1])
+    closing = closing[_MARK[data[closing]] & _LETTER[data[closing - 1]]]
+    cuts[closing] = True
     return np.flatnonzero(cuts[:n])
 
 
@@ -148,7 +154,9 @@ class Encoder:
         numbered = pa.StringArray.from_buffers(len(cuts), offsets, pa.py_buffer(data)).dictionary_encode()
         distinct = numbered.dictionary.to_pylist()
         if not self.spaced:
+            # This vocabulary is one of lower case.
             bare = [p.strip(" \t\n\r") for p in distinct]
+            bare = [p.lower() if p.isascii() else p for p in bare]
             kinds = list(dict.fromkeys(p for p in bare if p))
             known = dict(zip(kinds, self._lookup(kinds)))
             known[""] = b""
