@@ -129,6 +129,7 @@ def with_next(docs: DataFrame, added: dict[str, Column], next_name: str = "next"
 
 
 def op10_fingerprints(spark, sf_dir: str) -> DataFrame:
+    """Sketches of every text and of its edited text, and how alike they and the next document's are."""
     docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     taken = F.expr("length(text) div 2").cast("int")
     return (

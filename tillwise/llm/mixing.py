@@ -107,6 +107,7 @@ def mix(docs: DataFrame, **how) -> DataFrame:
 
 
 def op2_mixing(spark, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document; a null source is a source of its own."""
     docs = documents(spark, sf_dir).select("doc_id", "text", "source")
     return plan_mix(docs).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")

@@ -260,6 +260,7 @@ def packed_digest(docs: DataFrame, tokenizer: str) -> DataFrame:
 
 
 def op8_packing(spark, sf_dir: str) -> DataFrame:
+    """Where every piece of every document lies in the packed sequences."""
     import public_tokenizers
 
     docs = documents(spark, sf_dir).select("doc_id", "text")

@@ -325,6 +325,7 @@ def sanitise(docs: DataFrame, terms: DataFrame, **how) -> DataFrame:
 
 
 def op6_privacy(spark, sf_dir: str) -> DataFrame:
+    """Spans of patterns and disclosing terms in every text; a null text has none."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     marked = with_spans(docs, disclosing_terms(docs))
     return marked.select(

@@ -190,7 +190,8 @@ def near_duplicates(marked: DataFrame, limit: int = MAX_BITS, crowd: int = CROWD
     """``doc_id``, ``fp``, ``component_id``, ``root`` for every row of ``marked`` (``doc_id``, ``fp``).
 
     ``component_id`` is the smallest doc_id among all documents reachable over links (null if none
-    has an id), ``root`` the smallest fingerprint. Equal fingerprints are one node of the graph.
+    has an id), ``root`` the smallest fingerprint. Equal fingerprints are one node of the graph. An
+    empty table has no rows.
     """
     rows = stage(marked.select("doc_id", "fp"), "fingerprints")
     nodes = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
@@ -237,6 +238,7 @@ def keep_least(docs: DataFrame, marked: DataFrame, found: DataFrame) -> DataFram
 
 
 def op5_simhash(spark, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document; texts without words are copies of each other."""
     marked = with_fingerprint(documents(spark, sf_dir).select("doc_id", "text"))
     return near_duplicates(marked).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"

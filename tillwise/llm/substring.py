@@ -280,6 +280,7 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
 
 
 def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:
+    """What is left of every document once words of windows met in an earlier one are gone."""
     return dedup_substrings(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
     )

@@ -112,7 +112,8 @@ def write_tokens(
 ) -> list[dict]:
     """Write ``docs`` (``doc_id``, ``text``) and return one entry per file, in order.
 
-    Entries name the files and have ``start``: the ids in all files before. Null texts are empty;
+    Entries name the files and have ``start``: the ids in all files before. Null texts are empty, an
+    empty table gives files without documents or none;
     documents without doc_id come first, equal ids are ordered by text. A task holds one record
     batch of sequences and one Arrow batch of texts at a time.
     """
@@ -190,6 +191,7 @@ def read_documents(spark, folder: str, entries: list[dict]) -> DataFrame:
 
 
 def op3_token_files(spark, sf_dir: str) -> DataFrame:
+    """Every document as read back from the token files; a null text has the end id alone."""
     import public_tokenizers
 
     folder = scratch(spark, "token-files")

@@ -231,6 +231,7 @@ def top_k(
 
 
 def op9_exact_topk(spark, sf_dir: str) -> DataFrame:
+    """The five best inner products of every query vector against all others."""
     return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
 
 
