@@ -2,13 +2,84 @@
 
 from __future__ import annotations
 
-from tillwise.sources.derived import DomainTables
+import re
+
+from pyspark.sql import functions as F
+
+from tillwise.operators import lexicon, sentiment, text_model
+from tillwise.sources import derived
+from tillwise.sources.derived import DomainTables, StarTables
+
+ROWS = "id INT, text STRING, mood STRING, topic STRING"
 
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def feedback(spark):
+    said = [
+        ("good fast good", "up", "a"), ("good slow", "up", "b"), ("bad slow", "down", "a"), ("bad fast", "down", None),
+        ("good plain", None, "b"), (None, "up", "a"), ("", None, None), ("bad good", "flat", "c"),
+    ]
+    return spark.createDataFrame([(i, *row) for i, row in enumerate(said * 2)], ROWS)
+
+
+def test_lexicons_of_several_labels_cut_texts_once(spark):
+    rows = feedback(spark)
+    labels = {"mood": ["up", "down"], "topic": None}
+    every = lexicon.learn_lexicons(rows, labels, least_texts=1)
+    alone = [lexicon.learn_lexicon(rows, label, kinds=kinds, least_texts=1) for label, kinds in labels.items()]
+    expected = sorted(tuple(r) for part in alone for r in part.collect())
+    assert expected and sorted(tuple(r) for r in every.collect()) == expected
+    assert plan(every).split("== Initial Plan ==")[-1].count("Generate explode") == 1
+    # A named column would be computed twice, for the generator and for a filter inferred from it.
+    assert "size(array_distinct" not in plan(every)
+
+
+def test_only_known_terms_are_folded_and_shuffled(spark):
+    rows = feedback(spark)
+    known = text_model.vocabulary(rows, vocab_size=3)
+    every, met = text_model.term_counts(rows), text_model.term_counts(rows, known=known)
+    terms = [r.term for r in known.collect()]
+    expected = sorted(map(str, every.where(F.col("term").isin(terms)).collect()))
+    assert sorted(map(str, met.collect())) == expected and met.count() < every.count()
+    model = text_model.TextModel(["x"], known.select("term", "idf", F.array(F.lit(1.0)).alias("weights")), [0.0])
+    text = plan(text_model.text_scores(rows, model.terms, 1))
+    filtered = [text.index(m.group()) for m in re.finditer(r"BroadcastHashJoin[^\n]*LeftSemi", text)]
+    exchange = re.search(r"Exchange hashpartitioning\(_key#\d+, term#\d+", text)
+    assert filtered and filtered[0] > exchange.start(), text
+
+
+def test_shown_texts_are_shortened_before_the_join(spark):
+    rows = spark.createDataFrame([(i, f"good {'x' * 300}", None, None) for i in range(4)], ROWS)
+    shown = sentiment.batch_sentiment(rows, method="rule", lexicon=lexicon.fixed_lexicon(spark))
+    joined = shown._jdf.queryExecution().optimizedPlan().toString()
+    left = next(line for line in joined.splitlines()[1:] if re.search(r"[+:]- Project|- Join|LogicalRDD", line) and "_shown" in line)
+    assert not re.search(r"[\[ ]text#\d+[,\]]", left), joined
+    assert {len(r.text) for r in shown.collect()} == {103} and shown.columns[0] == "id"
+
+
+def test_texts_of_one_row_group_are_dealt(spark, tmp_path, monkeypatch):
+    rows = spark.range(200).select(
+        F.when(F.col("id") % 50 != 0, F.col("id")).alias("doc_id"), F.repeat(F.lit("words "), 50).alias("text"), F.col("id").alias("n_chars")
+    )
+    rows.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    whole = StarTables(spark, str(tmp_path))
+    filled = lambda df: df.groupBy(F.spark_partition_id()).count().count()
+    assert filled(whole.texts("documents")) == 1  # a small file is read as it is
+    monkeypatch.setattr(derived, "TEXT_FILE_BYTES", 400)
+    StarTables._dealt.clear()
+    dealt = whole.texts("documents")
+    assert filled(dealt) > 1
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, rows.collect()))
+    again = StarTables(spark, str(tmp_path)).texts("documents")
+    assert again.inputFiles() == dealt.inputFiles()
+    rows.limit(20).coalesce(1).write.mode("append").parquet(f"{tmp_path}/documents.parquet")
+    assert whole.texts("documents").count() == 220
+    StarTables._dealt.clear()
+
+
 def test_facts_are_shuffled_by_month_as_narrow_rows(spark, sf_dir):
     tables = DomainTables(spark, sf_dir)
     facts = tables.facts_by_month()

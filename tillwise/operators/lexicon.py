@@ -50,33 +50,65 @@ def learn_lexicon(
     a label are left out; ties go to the more frequent, then the lesser word. Rows without label are
     not used; without labelled rows the lexicon is empty.
     """
-    rows = df.select(F.col(label).alias("kind"), distinct_words(text, strip_punct).alias("words")).where(
-        F.col("kind").isNotNull()
+    return learn_lexicons(df, {label: kinds}, text, top, least_texts, strip_punct)
+
+
+def learn_lexicons(
+    df: DataFrame,
+    labels: dict[str, list[str] | None],
+    text: str = "text",
+    top: int = TOP,
+    least_texts: int = LEAST_TEXTS,
+    strip_punct: bool = False,
+) -> DataFrame:
+    """The lexicons of several label columns, each with the kinds to learn (None: all), under one another.
+
+    Texts are cut into words once for all labels: words fold by the labels of their texts, and each
+    label is counted from that. The words stand in the generator itself, as a named column would be
+    computed a second time for the filter that the optimizer infers from it.
+    """
+    names = [f"_label{i}" for i in range(len(labels))]
+    # A label that is not asked for still counts among the others: its kind is null.
+    asked = []
+    for name, (label, kinds) in zip(names, labels.items()):
+        kind = F.col(label) if kinds is None else F.when(F.col(label).isin(kinds), F.col(label))
+        asked.append(F.when(F.col(label).isNotNull(), F.struct(kind.alias("kind"))).alias(name))
+    any_label = F.coalesce(*[F.col(c).cast("string") for c in labels]).isNotNull()
+    rows = df.where(any_label)
+    each = F.array(*[F.struct(F.lit(i).alias("of"), F.col(n).alias("label")) for i, n in enumerate(names)])
+    per_label = ["of", F.col("label.kind").alias("kind")]
+    sizes = (
+        rows.select(*asked).groupBy(*names).agg(F.count("*").alias("n"))
+        .select("n", F.inline(each)).where("label IS NOT NULL")
+        .groupBy(*per_label).agg(F.sum("n").alias("kind_texts"))
+        .withColumn("every", F.sum("kind_texts").over(Window.partitionBy("of")))
     )
-    if kinds is not None:
-        rows = rows.withColumn("kind", F.when(F.col("kind").isin(kinds), F.col("kind")))
-    sizes = rows.groupBy("kind").agg(F.count("*").alias("kind_texts"))
-    every = sizes.agg(F.coalesce(F.sum("kind_texts"), F.lit(0))).scalar()
     hits = (
-        rows.select("kind", F.explode("words").alias("word"))
+        rows.select(*asked, F.explode(distinct_words(text, strip_punct)).alias("word"))
         .where("word <> ''")
-        .groupBy("kind", "word")
+        .groupBy("word", *names)
         .agg(F.count("*").alias("n"))
+        # Rare words go first; what follows stays where this shuffle by word put it.
+        .withColumn("texts", F.sum("n").over(Window.partitionBy("word")))
+        .where(F.col("texts") >= least_texts)
+        .select("word", "n", F.inline(each))
+        .where("label IS NOT NULL")
+        .groupBy("word", *per_label)
+        .agg(F.sum("n").alias("n"))
+        .withColumn("n_texts", F.sum("n").over(Window.partitionBy("word", "of")))
+        .where(F.col("n_texts") >= least_texts)
     )
-    of_word = hits.groupBy("word").agg(F.sum("n").alias("n_texts")).where(F.col("n_texts") >= least_texts)
     inside, outside = F.col("n") + SMOOTHING, F.col("n_texts") - F.col("n") + SMOOTHING
     others = F.col("every") - F.col("kind_texts")
     weight = F.floor(SCALE * F.ln((inside * (others + 1)) / (outside * (F.col("kind_texts") + 1))))
     scored = (
         hits.where(F.col("kind").isNotNull())
-        .join(of_word, "word")
-        .join(sizes, "kind")
-        .withColumn("every", every)
-        .select("kind", "word", weight.alias("weight"), "n", "n_texts")
+        .join(sizes, ["of", "kind"])
+        .select("of", "kind", "word", weight.alias("weight"), "n", "n_texts")
         .where("weight > 0")
     )
     # Each task keeps its own first rows of a kind before they meet.
-    order = Window.partitionBy("kind").orderBy(F.desc("weight"), F.desc("n"), "word")
+    order = Window.partitionBy("of", "kind").orderBy(F.desc("weight"), F.desc("n"), "word")
     return (
         scored.withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= top)

@@ -224,10 +224,11 @@ def batch_sentiment(
     lexicon: DataFrame | None = None,
 ) -> DataFrame:
     """Analysis table for display: shortened text and keywords joined by commas."""
-    analyzed = analyze(df, fit, method, text, lexicon=lexicon)
+    # Shortened before the hits are joined, so whole texts are not shuffled.
+    analyzed = analyze(df.withColumn("_shown", tx.shorten(F.col(text))), fit, method, text, lexicon=lexicon)
     return analyzed.select(
         *[c for c in df.columns if c != text],
-        tx.shorten(F.col(text)).alias("text"),
+        F.col("_shown").alias("text"),
         "sentiment", "confidence",
         F.col("detected_category").alias("category"),
         F.array_join("keywords", ", ").alias("keywords"),

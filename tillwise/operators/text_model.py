@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,14 +54,17 @@ def _with_pairs(words: Column) -> Column:
     return F.concat(words, F.zip_with(firsts, seconds, lambda a, b: F.concat(a, F.lit(" "), b)))
 
 
-def term_counts(df: DataFrame, text: str = "text", stop: list[str] | None = None) -> DataFrame:
-    """``_key``, ``term`` and ``tf`` of every row; rows of one text add up."""
+def term_counts(
+    df: DataFrame, text: str = "text", stop: list[str] | None = None, known: DataFrame | None = None
+) -> DataFrame:
+    """``_key``, ``term`` and ``tf`` of every row; rows of one text add up. With ``known``, a vocabulary,
+    only its terms: the others are dropped where texts are read, and are neither folded nor shuffled."""
     found = terms(text, stop_words() if stop is None else stop)
-    return (
-        df.select(text_key(text).alias("_key"), F.explode(found).alias("term"))
-        .groupBy("_key", "term")
-        .agg(F.count("*").alias("tf"))
-    )
+    every = df.select(text_key(text).alias("_key"), F.explode(found).alias("term"))
+    if known is not None:
+        # A vocabulary has at most ``vocab_size`` rows.
+        every = every.join(F.broadcast(known.select("term")), "term", "leftsemi")
+    return every.groupBy("_key", "term").agg(F.count("*").alias("tf"))
 
 
 def vocabulary(
@@ -92,8 +95,8 @@ def vectors(counts: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """``_key``, ``term`` and its weight ``x`` in the unit vector of the text."""
     # A vocabulary has at most ``vocab_size`` rows.
     met = counts.join(F.broadcast(vocabulary), "term").withColumn("x", F.col("tf") * F.col("idf"))
-    norms = met.groupBy("_key").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    return met.join(norms, "_key").withColumn("x", F.col("x") / F.col("norm")).drop("norm")
+    norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("_key")))
+    return met.withColumn("x", F.col("x") / norm)
 
 
 def text_scores(df: DataFrame, model_terms: DataFrame, labels: int, text: str = "text") -> DataFrame:
@@ -101,7 +104,8 @@ def text_scores(df: DataFrame, model_terms: DataFrame, labels: int, text: str =
 
     Products are summed before the length is divided out, so hits fold to one row per text at once.
     """
-    met = term_counts(df, text).join(F.broadcast(model_terms), "term").withColumn("x", F.col("tf") * F.col("idf"))
+    counts = term_counts(df, text, known=model_terms)
+    met = counts.join(F.broadcast(model_terms), "term").withColumn("x", F.col("tf") * F.col("idf"))
     folded = met.groupBy("_key").agg(
         F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"),
         *[F.sum(F.col("x") * F.get("weights", F.lit(i))).alias(f"s{i}") for i in range(labels)],
@@ -139,7 +143,7 @@ def fit_text_model(
     # The vocabulary is bounded, so its places are.
     ordered = [r.term for r in known.orderBy(F.desc("total"), "term").collect()]
     places = train.sparkSession.createDataFrame(list(zip(ordered, range(len(ordered)))), "term string, place int")
-    found = vectors(term_counts(train, text), known).join(F.broadcast(places), "term")
+    found = vectors(term_counts(train, text, known=known), known).join(F.broadcast(places), "term")
     cells = F.array_sort(F.collect_list(F.struct("place", "x")))
     rows = found.groupBy("_key").agg(cells.alias("cells"))
     numbers = F.array(*[F.lit(v) for v in labels])

@@ -732,15 +732,15 @@ def regression_metrics(t: DomainTables) -> DataFrame:
 
 @query("preprocess_text")
 def preprocess_text(t: DomainTables) -> DataFrame:
-    return sentiment.preprocess_text(t["feedback"]).select("feedback_id", "processed")
+    return sentiment.preprocess_text(t.texts()).select("feedback_id", "processed")
 
 
 @query("preprocess_documents")
 def preprocess_documents(t: DomainTables) -> DataFrame:
-    documents = t.star.scan("documents").select(
+    documents = t.star.texts("documents").select(
         F.concat(F.lit("D"), "doc_id").alias("source_id"), "text"
     )
-    turns = t.star.scan("conversations").select(
+    turns = t.star.texts("conversations").select(
         F.concat(F.lit("C"), "conv_id", F.lit("-"), "turn").alias("source_id"), "text"
     )
     return sentiment.preprocess_text(documents.unionByName(turns)).select(
@@ -755,14 +755,12 @@ def lexicon_of(t: DomainTables) -> DataFrame:
     """Words that tell the labelled feedback apart: by sentiment, by category and by urgency."""
 
     def learn() -> DataFrame:
-        rows = t["feedback"]
         urgency = F.when(F.col("priority") == "high", lexicon.URGENT).otherwise("calm")
-        parts = [
-            lexicon.learn_lexicon(rows, "sentiment_label", kinds=[lexicon.POSITIVE, lexicon.NEGATIVE]),
-            lexicon.learn_lexicon(rows, "category"),
-            lexicon.learn_lexicon(rows.withColumn("urgency", urgency), "urgency", kinds=[lexicon.URGENT]),
-        ]
-        return cut_lineage(reduce(DataFrame.unionByName, parts))
+        rows = t.texts().withColumn("urgency", urgency)
+        kinds = {
+            "sentiment_label": [lexicon.POSITIVE, lexicon.NEGATIVE], "category": None, "urgency": [lexicon.URGENT],
+        }
+        return cut_lineage(lexicon.learn_lexicons(rows, kinds))
 
     return _fitted(t, "lexicon", learn)
 
@@ -774,14 +772,14 @@ def learn_lexicon(t: DomainTables) -> DataFrame:
 
 @query("extract_keywords")
 def extract_keywords(t: DomainTables) -> DataFrame:
-    return sentiment.extract_keywords(t["feedback"], lexicon=lexicon_of(t)).select(
+    return sentiment.extract_keywords(t.texts(), lexicon=lexicon_of(t)).select(
         "feedback_id", F.array_join("keywords", ", ").alias("keywords")
     )
 
 
 @query("detect_category")
 def detect_category(t: DomainTables) -> DataFrame:
-    return sentiment.detect_category(t["feedback"], lexicon=lexicon_of(t)).select("feedback_id", "detected_category")
+    return sentiment.detect_category(t.texts(), lexicon=lexicon_of(t)).select("feedback_id", "detected_category")
 
 
 RULED = ["sentiment", "confidence", "detected_category"]
@@ -789,31 +787,31 @@ RULED = ["sentiment", "confidence", "detected_category"]
 
 @query("sentiment_rules")
 def sentiment_rules(t: DomainTables) -> DataFrame:
-    return sentiment.sentiment_rules(t["feedback"], lexicon=lexicon_of(t)).select(
+    return sentiment.sentiment_rules(t.texts(), lexicon=lexicon_of(t)).select(
         "feedback_id", *RULED, F.array_join("keywords", ", ").alias("keywords")
     )
 
 
 @query("sentiment_rules_fixed")
 def sentiment_rules_fixed(t: DomainTables) -> DataFrame:
-    return sentiment.sentiment_rules(t["feedback"]).select(
+    return sentiment.sentiment_rules(t.texts()).select(
         "feedback_id", *RULED, F.array_join("keywords", ", ").alias("keywords")
     )
 
 
 @query("batch_sentiment")
 def batch_sentiment(t: DomainTables) -> DataFrame:
-    documents = t.star.scan("documents").select(
+    documents = t.star.texts("documents").select(
         F.concat(F.lit("D"), "doc_id").alias("source_id"), "text"
     )
-    turns = t.star.scan("conversations").select(
+    turns = t.star.texts("conversations").select(
         F.concat(F.lit("C"), "conv_id", F.lit("-"), "turn").alias("source_id"), "text"
     )
     return sentiment.batch_sentiment(documents.unionByName(turns), method="rule", lexicon=lexicon_of(t))
 
 
 def _routed(t: DomainTables) -> DataFrame:
-    return sentiment.route_feedback(t["feedback"], lexicon=lexicon_of(t))
+    return sentiment.route_feedback(t.texts(), lexicon=lexicon_of(t))
 
 
 @query("route_feedback")
@@ -826,7 +824,7 @@ def route_feedback(t: DomainTables) -> DataFrame:
 
 @query("route_feedback_fixed")
 def route_feedback_fixed(t: DomainTables) -> DataFrame:
-    return sentiment.route_feedback(t["feedback"]).select(
+    return sentiment.route_feedback(t.texts()).select(
         "feedback_id", "routed_category", "sentiment", "confidence", "team",
         "routed_priority", "sla_hours",
     )
@@ -839,13 +837,14 @@ def batch_route_feedback(t: DomainTables) -> DataFrame:
 
 @query("text_vocabulary")
 def text_vocabulary(t: DomainTables) -> DataFrame:
-    return rounded(text_model.vocabulary(t["feedback"]), 6, "idf")
+    return rounded(text_model.vocabulary(t.texts()), 6, "idf")
 
 
 @query("text_vectors")
 def text_vectors(t: DomainTables) -> DataFrame:
-    rows = t["feedback"]
-    vectors = text_model.vectors(text_model.term_counts(rows), text_model.vocabulary(rows))
+    rows = t.texts()
+    known = cut_lineage(text_model.vocabulary(rows))
+    vectors = text_model.vectors(text_model.term_counts(rows, known=known), known)
     parts = vectors.groupBy("_key").agg(
         F.count("*").alias("terms"), F.sum("tf").alias("tf"), F.max("x").alias("heaviest"), F.sum("x").alias("length_1")
     )
@@ -866,15 +865,15 @@ def text_vectors(t: DomainTables) -> DataFrame:
 @query("text_scores")
 def text_scores(t: DomainTables) -> DataFrame:
     """Scores of given weights: those of the learnt lexicon, in the vocabulary's vectors."""
-    rows = t["feedback"]
+    rows = t.texts()
     of_kind = lambda kind: F.coalesce(F.max(F.when(F.col("kind") == kind, F.col("weight"))), F.lit(0)) / 1000
     weights = (
         lexicon_of(t).groupBy(F.col("word").alias("term"))
         .agg(F.array(of_kind(lexicon.NEGATIVE), of_kind(lexicon.POSITIVE)).alias("weights"))
     )
-    known = text_model.vocabulary(rows).join(weights, "term", "left").select(
+    known = cut_lineage(text_model.vocabulary(rows).join(weights, "term", "left").select(
         "term", "idf", F.coalesce("weights", F.array(F.lit(0.0), F.lit(0.0))).alias("weights")
-    )
+    ))
     model = text_model.TextModel(["negative", "positive"], known, [0.0, 0.0])
     scored = text_model.with_probabilities(rows, model)
     return scored.select("feedback_id", F.round(F.get("_probabilities", F.lit(1)), 4).alias("p_positive"))
@@ -949,7 +948,7 @@ def churn_model(t: DomainTables) -> models.FittedModel:
 
 
 def sentiment_model(t: DomainTables) -> sentiment.SentimentFit:
-    return _fitted(t, "sentiment", lambda: sentiment.fit_sentiment(t["feedback"]))
+    return _fitted(t, "sentiment", lambda: sentiment.fit_sentiment(t.texts()))
 
 
 # What can be stated exactly about a fit: its rows, splits and folds, and that results keep their bounds.
@@ -1022,7 +1021,7 @@ def model_save_load_checked(t: DomainTables) -> DataFrame:
 @query("sentiment_checked")
 def sentiment_checked(t: DomainTables) -> DataFrame:
     fitted = sentiment_model(t)
-    scored = sentiment.sentiment_ml(t["feedback"], fitted)
+    scored = sentiment.sentiment_ml(t.texts(), fitted)
     least = 1 / len(fitted.labels) - 0.001
     return scored.select(
         "feedback_id", "sentiment_label",
@@ -1140,14 +1139,14 @@ def sentiment_fit(t: DomainTables) -> DataFrame:
 
 @query("sentiment_ml")
 def sentiment_ml(t: DomainTables) -> DataFrame:
-    return sentiment.sentiment_ml(t["feedback"], sentiment_model(t)).select(
+    return sentiment.sentiment_ml(t.texts(), sentiment_model(t)).select(
         "feedback_id", "sentiment_label", "ml_sentiment", "ml_confidence"
     )
 
 
 @query("sentiment_hybrid")
 def sentiment_hybrid(t: DomainTables) -> DataFrame:
-    return sentiment.analyze(t["feedback"], sentiment_model(t), "hybrid", lexicon=lexicon_of(t)).select(
+    return sentiment.analyze(t.texts(), sentiment_model(t), "hybrid", lexicon=lexicon_of(t)).select(
         "feedback_id", "sentiment_label", "sentiment", "confidence", "detected_category",
         F.array_join("keywords", ", ").alias("keywords"),
     )
