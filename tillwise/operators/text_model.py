@@ -25,6 +25,8 @@ from tillwise.session import cut_lineage, run_dir
 #: Labels that a model can tell apart; more are not classes but free text.
 MOST_LABELS = 100
 WORD = "[a-z0-9]{2,}"
+#: A vocabulary of at most so many terms is a list in the plan, looked up as terms are made; a larger one is joined.
+MOST_LISTED = 20_000
 
 
 @dataclass
@@ -57,13 +59,23 @@ def _with_pairs(words: Column) -> Column:
 def term_counts(
     df: DataFrame, text: str = "text", stop: list[str] | None = None, known: DataFrame | None = None
 ) -> DataFrame:
-    """``_key``, ``term`` and ``tf`` of every row; rows of one text add up. With ``known``, a vocabulary,
-    only its terms: the others are dropped where texts are read, and are neither folded nor shuffled."""
+    """``_key``, ``term`` and ``tf`` of every row; rows of one text add up. With ``known``, a written
+    vocabulary, only its terms: the others are dropped as they are made, and are neither folded nor
+    shuffled."""
     found = terms(text, stop_words() if stop is None else stop)
-    every = df.select(text_key(text).alias("_key"), F.explode(found).alias("term"))
     if known is not None:
-        # A vocabulary has at most ``vocab_size`` rows.
-        every = every.join(F.broadcast(known.select("term")), "term", "leftsemi")
+        # Terms are letters, digits and spaces, so those that can occur need no quoting.
+        can_occur = known.select("term").where("term RLIKE '^[a-z0-9 ]+$'").distinct()
+        listed = [r.term for r in can_occur.limit(MOST_LISTED + 1).collect()]
+        if len(listed) <= MOST_LISTED:
+            list_of = ", ".join(f"'{t}'" for t in listed) or "NULL"
+            one = df.select(text_key(text).alias("_key"), found.alias("_terms"))
+            every = one.select("_key", F.expr(f"explode(filter(_terms, t -> t IN ({list_of}))) AS term"))
+        else:
+            every = df.select(text_key(text).alias("_key"), F.explode(found).alias("term"))
+            every = every.join(known.select("term"), "term", "leftsemi")
+    else:
+        every = df.select(text_key(text).alias("_key"), F.explode(found).alias("term"))
     return every.groupBy("_key", "term").agg(F.count("*").alias("tf"))
 
 
