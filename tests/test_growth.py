@@ -145,3 +145,13 @@ def test_texts_are_not_shuffled_for_their_labels(spark, tmp_path, sf_dir, monkey
         assert sent.count() == 7 and sorted(map(str, sent.collect())) == sorted(map(str, joined.collect()))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_words_fold_by_narrow_keys(spark):
+    rows = feedback(spark)
+    learnt = lexicon.learn_lexicons(rows, {"mood": ["up", "down"], "topic": None}, least_texts=1)
+    # Between the generator of words and their fold no label is wrapped.
+    made = plan(learnt).split("Generate explode")[0].rsplit("HashAggregate", 1)[1]
+    assert "_label0" in made and "struct(" not in made, made
+    assert {r.kind for r in learnt.collect()} == {"up", "down", "a", "b", "c"}
+    assert {r.kind for r in lexicon.learn_lexicon(rows, "mood", kinds=["none"], least_texts=1).collect()} == set()

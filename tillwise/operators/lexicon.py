@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwise import constants as k
 from tillwise.functions import text as tx
@@ -68,14 +69,21 @@ def learn_lexicons(
     computed a second time for the filter that the optimizer infers from it.
     """
     names = [f"_label{i}" for i in range(len(labels))]
-    # A label that is not asked for still counts among the others: its kind is null.
-    asked = []
+    # A label that is not asked for still counts among the others: its kind is null. Words fold by the
+    # places of the kinds asked for, narrow keys, and get the kinds back when few rows are left.
+    asked, given = [], []
     for name, (label, kinds) in zip(names, labels.items()):
-        kind = F.col(label) if kinds is None else F.when(F.col(label).isin(kinds), F.col(label))
-        asked.append(F.when(F.col(label).isNotNull(), F.struct(kind.alias("kind"))).alias(name))
+        if kinds is None:
+            asked.append(F.col(label).alias(name))
+            kind = F.col(name)
+        else:
+            listed = F.array(*[F.lit(v) for v in kinds]).cast(T.ArrayType(df.schema[label].dataType))
+            asked.append(F.array_position(listed, F.col(label)).cast("int").alias(name))
+            kind = F.get(listed, F.col(name) - 1)
+        given.append(F.when(F.col(name).isNotNull(), F.struct(kind.alias("kind"))))
     any_label = F.coalesce(*[F.col(c).cast("string") for c in labels]).isNotNull()
     rows = df.where(any_label)
-    each = F.array(*[F.struct(F.lit(i).alias("of"), F.col(n).alias("label")) for i, n in enumerate(names)])
+    each = F.array(*[F.struct(F.lit(i).alias("of"), g.alias("label")) for i, g in enumerate(given)])
     per_label = ["of", F.col("label.kind").alias("kind")]
     sizes = (
         rows.select(*asked).groupBy(*names).agg(F.count("*").alias("n"))
