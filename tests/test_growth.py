@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tillwise.operators import lexicon, sentiment, text_model
@@ -126,6 +127,25 @@ def test_months_are_split_by_their_rows(spark, sf_dir, monkeypatch):
     assert facts.count() == tables.derive("transactions").count()
 
 
+def test_joins_of_the_landing_follow_the_rows(spark, sf_dir, tmp_path, monkeypatch):
+    name, planned = "spark.sql.shuffle.partitions", []
+    before = spark.conf.get(name)
+    tables = DomainTables(spark, sf_dir)
+    monkeypatch.setattr(derived, "TASK_ROWS", 300)
+    write = DataFrameWriter.parquet
+
+    def noted(self, path, *args, **kwargs):
+        planned.append(int(spark.conf.get(name)))
+        write(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    tables._write("transactions", f"{tmp_path}/facts")
+    assert planned == [-(-tables.star["lineitem"].count() // 300)] and planned[0] > int(before)
+    assert spark.conf.get(name) == before
+    facts = spark.read.parquet(f"{tmp_path}/facts").select(*tables["transactions"].columns)
+    assert facts.count() == tables["transactions"].count() and facts.exceptAll(tables["transactions"]).isEmpty()
+
+
 def test_texts_are_not_shuffled_for_their_labels(spark, tmp_path, sf_dir, monkeypatch):
     said = [(1, "a b", "s1"), (1, "c", "s2"), (2, None, "s3"), (None, "d", None), (4, "e", "s0")]
     rows = spark.createDataFrame([(*r, 3) for r in said], "doc_id LONG, text STRING, source STRING, n_chars LONG")

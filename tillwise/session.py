@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -23,6 +25,19 @@ def shuffle_partitions_for(input_bytes: int, cores: int, target_bytes: int = 128
     return max(cores, -(-input_bytes // target_bytes))
 
 
+@contextmanager
+def shuffle_tasks(spark: SparkSession, tasks: int) -> Iterator[None]:
+    """Shuffles planned inside have so many partitions at least, before small ones are merged: a
+    fixed number of partitions that grow with the input would spill from some size on."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(max(int(before), tasks)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def build_session(app_name: str = "tillwise", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the library's settings; on a cluster it needs ``spark.checkpoint.dir``."""
     builder = SparkSession.builder.appName(app_name)
