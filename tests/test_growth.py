@@ -7,7 +7,9 @@ import re
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
-from tillwise.operators import lexicon, sentiment, text_model
+from tillwise import constants as k
+from tillwise.operators import lexicon, models, sentiment, text_model
+from tillwise.plans import registry
 from tillwise.sources import derived
 from tillwise.sources.derived import DomainTables, StarTables
 
@@ -175,3 +177,26 @@ def test_words_fold_by_narrow_keys(spark):
     assert "_label0" in made and "struct(" not in made, made
     assert {r.kind for r in learnt.collect()} == {"up", "down", "a", "b", "c"}
     assert {r.kind for r in lexicon.learn_lexicon(rows, "mood", kinds=["none"], least_texts=1).collect()} == set()
+
+
+def labelled(spark):
+    names = {c: F.lit("a") for c in k.MODEL_CATEGORICALS}
+    return spark.range(0, 100, numPartitions=8).select(
+        F.concat(F.lit("M"), F.col("id")).alias("merchant_id"), F.col("id").alias("x"), (F.col("id") % 2).alias("y")
+    ).withColumns(names)
+
+
+def test_fits_run_in_tasks_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(models, "FIT_ROWS", 25)
+    rows = models._prepare(labelled(spark), ["x"], "y", models.BoostingParams())
+    assert rows.select(F.spark_partition_id()).distinct().count() == 4 and rows.count() == 100
+
+
+def test_scores_and_status_share_the_requests(spark, monkeypatch):
+    folder = "/root/testdata/sf0.01"  # a fit needs more merchants than sf0.001 has
+    quick = models.BoostingParams(trees=2, depth=2, cross_validate=False)
+    monkeypatch.setattr(registry, "pricing_model", lambda t: models.fit_pricing(t["merchants"], t["transactions"], quick))
+    scored = registry.QUERIES["score_pricing_model"](spark, folder)
+    assert "landed/transactions" not in plan(scored)
+    merchants = DomainTables(spark, folder)["merchants"]
+    assert 0 < scored.count() <= merchants.count()

@@ -48,6 +48,10 @@ class BoostingParams:
         }
 
 
+#: Rows that a task of a fit has: every level of every tree is a job over all its tasks.
+FIT_ROWS = 100_000
+
+
 @dataclass
 class FittedModel:
     model: PipelineModel
@@ -134,8 +138,8 @@ def _cross_validate(estimator, evaluator, rows: DataFrame, params: BoostingParam
 def _prepare(
     labelled: DataFrame, numerics: list[str], label: str, params: BoostingParams, stratify: bool = False
 ) -> DataFrame:
-    """Model inputs with split and fold, cut from the transaction lineage once. ``stratify`` gives
-    every split and fold its share of each label."""
+    """Model inputs with split and fold, cut from the transaction lineage, in tasks of ``FIT_ROWS``
+    rows. ``stratify`` gives every split and fold its share of each label."""
     complete = _complete(labelled, numerics, k.MODEL_CATEGORICALS)
     rows = complete.select(
         "merchant_id", *numerics, *k.MODEL_CATEGORICALS, as_double(label).alias("label")
@@ -152,7 +156,9 @@ def _prepare(
                 "fold": hash_bucket("merchant_id", params.folds, seed=7),
             }
         )
-    return cut_lineage(rows)
+    rows = cut_lineage(rows)
+    # Partitions of the shuffles before are too many: their sizes are those of the transactions' sums.
+    return rows.coalesce(max(1, -(-rows.count() // FIT_ROWS)))
 
 
 def pricing_rows(

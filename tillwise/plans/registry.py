@@ -1108,7 +1108,7 @@ def _with_status(response: DataFrame, scored: DataFrame) -> DataFrame:
 @query("score_pricing_model")
 def score_pricing_model(t: DomainTables) -> DataFrame:
     training = models.pricing_training(t["merchants"], t["transactions"])
-    requests = models.with_activity(_valid_requests(t), training)
+    requests = cut_lineage(models.with_activity(_valid_requests(t), training))  # for scores and status
     predicted = models.predict_rate(requests, pricing_model(t))
     rate = F.when(F.col("status") == "scored", F.col("recommended_rate"))
     return _with_status(scoring.score_pricing(predicted, rate), requests)
@@ -1116,7 +1116,7 @@ def score_pricing_model(t: DomainTables) -> DataFrame:
 
 @query("score_churn_model")
 def score_churn_model(t: DomainTables) -> DataFrame:
-    requests = models.with_activity(_valid_requests(t), _churn_rows(t))
+    requests = cut_lineage(models.with_activity(_valid_requests(t), _churn_rows(t)))  # for scores and status
     predicted = models.predict_churn(requests, churn_model(t))
     probability = F.when(F.col("status") == "scored", F.col("churn_probability"))
     return _with_status(scoring.score_churn(predicted, probability), requests)
