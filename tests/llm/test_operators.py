@@ -145,6 +145,44 @@ def test_pieces_give_the_ids_of_the_library(corpus, monkeypatch, name, spaced):
     assert list(encoder.encode_column(pa.array([], pa.string()))) == []
 
 
+@pytest.mark.parametrize("name,spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_words_skip_the_cutting_of_the_library(name, spaced):
+    class Counted:
+        """A library that notes what it is asked to cut."""
+
+        def __init__(self, library):
+            self.library, self.asked = library, []
+
+        def encode_batch_fast(self, texts, **how):
+            self.asked += texts
+            return self.library.encode_batch_fast(texts, **how)
+
+    library = Tokenizer.from_file(public_tokenizers.path(name))
+    encoder = tokens.Encoder(public_tokenizers.path(name), spaced)
+    encoder.library = counted = Counted(library)
+    words = "Größe über ÿ À ÉTÉ×x ñandú\nfe\u0301 façade, Sätze; (one) two-three x_y a<b don't 4a a4 µ ª, ß. a.'s É's"
+    draw = np.random.default_rng(5)
+    mixed = ["".join(draw.choice(list(" \n aZÉß\xad×÷ñ'.,-_<=|\u0338\u03014"), 30)) for _ in range(400)]
+    texts = [words, words.upper(), *mixed, *words.split()]
+    counted.encode = library.encode
+    assert [i.tolist() for i in encoder.encode_many(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    counted.asked.clear()
+    plain = "Neue Wörter, viele davon: straße naïve Çedille\nseen; once. Only (here)."
+    assert encoder.encode(plain).tolist() == library.encode(plain, add_special_tokens=False).ids
+    cut = "".join(counted.asked)
+    assert not any(c.isalpha() for c in cut.replace("here", "")), cut
+
+
+def test_a_block_reads_slices_and_nulls_of_a_column():
+    encoder = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"), True)
+    texts = [None, "one two", "", None, "Öl, drei", None]
+    want = [encoder.encode(t or "").tolist() for t in texts]
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(texts, kind)
+        for low in range(len(texts)):
+            assert [ids.tolist() for ids in encoder.encode_column(column.slice(low, 4))] == want[low : low + 4]
+
+
 def test_token_files(spark, odd, nothing, corpus):
     path = public_tokenizers.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)
