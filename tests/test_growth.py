@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import re
 
+from builders import merchants, transactions
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tillwise import constants as k
-from tillwise.operators import lexicon, models, sentiment, text_model
-from tillwise.plans import registry
-from tillwise.sources import derived
+from tillwise.functions import marks
+from tillwise.operators import features, lexicon, models, sentiment, text_model
+from tillwise.plans import batch, registry
+from tillwise.plans.batch import BatchConfig, run_batch
+from tillwise.sources import derived, readers, sinks
 from tillwise.sources.derived import DomainTables, StarTables
 
 ROWS = "id INT, text STRING, mood STRING, topic STRING"
@@ -213,3 +216,67 @@ def test_scores_and_status_share_the_requests(spark, monkeypatch):
     assert "landed/transactions" not in plan(scored)
     merchants = DomainTables(spark, folder)["merchants"]
     assert 0 < scored.count() <= merchants.count()
+
+
+def ran(df) -> str:
+    """The plan as it ran."""
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+def shuffle_files(spark) -> set[str]:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    names = set()
+    while files.hasNext():
+        names.add(files.next().getName())
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_ingest_shuffles_hashes_and_only_likely_copies(spark, tmp_path, monkeypatch):
+    rows = [(i % 70 or None, "ab"[i % 2], i % 3 or None) for i in range(900)] + [(i, "x" * 50, None) for i in range(900, 1500)]
+    spark.createDataFrame(rows, "a INT, text STRING, c INT").write.parquet(str(tmp_path / "rows"))
+    table = spark.read.parquet(str(tmp_path / "rows"))
+    single = readers.ingest({"t": table.where("a >= 900")})["t"]
+    shuffles = [x for x in ran(single).split("\n") if " Exchange" in x]
+    assert single.count() == 600 and all("text" not in x for x in shuffles)
+    for bits in (marks.MARKS, 256, 64):  # with few bits, most rows share a mark with a copy
+        monkeypatch.setattr(marks, "MARKS", bits)
+        got = [tuple(r) for r in readers.ingest({"t": table})["t"].collect()]
+        assert len(got) == len(set(rows)) and set(got) == set(rows)
+
+
+def test_batch_steps_leave_no_shuffles_on_disk(spark, tmp_path, monkeypatch):
+    raw = {
+        "merchants": merchants(spark, [{"merchant_id": f"M{i % 4}"} for i in range(5)]),
+        "transactions": transactions(spark, [{"merchant_id": f"M{i % 4}"} for i in range(40)]),
+    }
+    for name, df in raw.items():
+        sinks.write_table(df, str(tmp_path / f"raw/{name}.parquet"))
+    before, left = shuffle_files(spark), {}
+
+    def noting(df, path, *args):
+        rows = sinks.write_table(df, path, *args)
+        left[path] = shuffle_files(spark) - before
+        return rows
+
+    monkeypatch.setattr(batch, "write_table", noting)
+    config = BatchConfig(str(tmp_path / "raw"), str(tmp_path / "out"), input_format="parquet", batch_date="2001-08-01")
+    data = run_batch(spark, config)
+    assert len(left) == 6 and not set().union(*left.values()) and not shuffle_files(spark) - before
+    assert data["merchants"].count() == 4 and data["daily_summary"].count() == 1
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_amounts_are_shuffled_once_for_the_median(spark):
+    amounts = {"M1": [3, 1, 2], "M2": [5, 5, 1, 7], "M3": [None], "M4": []}
+    facts = [
+        {"merchant_id": m, "amount_usd": a, "hour": 5 + i % 2, "is_cross_border": a == 5}
+        for m, of in (*amounts.items(), (None, [9])) for i, a in enumerate(of)
+    ]
+    found = features.pricing_features(
+        merchants(spark, [{"merchant_id": m} for m in amounts]), transactions(spark, facts)
+    )
+    assert len(re.findall(r"- Exchange hashpartitioning\(merchant_id#\d+, amount_usd#\d+", ran(found))) == 1
+    got = {r.merchant_id: (r.avg_amount, r.amount_std, r.median_amount, r.cross_border_ratio, r.peak_hour) for r in found.collect()}
+    assert got["M1"] == (2.0, 1.0, 2.0, 0.0, 5) and got["M3"] == (0.0, 0.0, 0.0, 0.0, 5) and got["M4"] == (0.0,) * 4 + (0,)
+    assert got["M2"][0] == 4.5 and abs(got["M2"][1] - 19 ** 0.5 / 3 ** 0.5) < 1e-12 and got["M2"][2:] == (5.0, 0.5, 5)

@@ -14,6 +14,7 @@ from tillwise.operators.aggregates import category_summary, daily_summary
 from tillwise.operators.features import churn_features, pricing_features
 from tillwise.operators.transforms import transform_merchants, transform_transactions
 from tillwise.schemas import TABLES
+from tillwise.session import short_shuffles
 from tillwise.sources.readers import files_state, ingest, load_all_tables, path_exists
 from tillwise.sources.sinks import run_metadata, write_aggregates, write_json, write_table
 
@@ -102,7 +103,13 @@ def run_batch(spark: SparkSession, config: BatchConfig) -> dict[str, DataFrame]:
     Deduplicated and transformed tables are written once per batch date and read back, so the
     later steps scan pruned Parquet and a lost executor never replays the ingest. A batch that
     stopped half way goes on behind its last finished step; a finished one is not done again.
+    What a step shuffles is deleted with its end, so that the steps' shuffles do not add up on disk.
     """
+    with short_shuffles(spark):
+        return _run(spark, config)
+
+
+def _run(spark: SparkSession, config: BatchConfig) -> dict[str, DataFrame]:
     started = time.monotonic()
     base = config.output_dir.rstrip("/")
     steps = Steps(spark, config)

@@ -20,7 +20,7 @@ from tillwise.operators import scoring, text_model, transforms
 from tillwise.plans import batch, catalog
 from tillwise.plans.batch import BatchConfig, aggregate
 from tillwise.schemas import TABLES, schema_of
-from tillwise.session import cut_lineage, run_dir
+from tillwise.session import cut_lineage, run_dir, short_shuffles
 from tillwise.sources import readers, sinks
 from tillwise.sources.derived import DomainTables, StarTables
 from tillwise.sources.versioned import VersionedTable
@@ -246,8 +246,9 @@ def run_metadata(t: DomainTables) -> DataFrame:
 def run_batch(t: DomainTables) -> DataFrame:
     """The whole daily batch over the landed tables; rows of every table it wrote, from its record."""
     folder = work_dir(t, "batch")
-    for name in TABLES:
-        sinks.write_table(t[name], f"{folder}/raw/{name}.parquet")
+    with short_shuffles(t.spark):  # the landing's are as large as the facts
+        for name in TABLES:
+            sinks.write_table(t[name], f"{folder}/raw/{name}.parquet")
     config = BatchConfig(f"{folder}/raw", f"{folder}/out", input_format="parquet", batch_date="2001-08-01")
     data = batch.run_batch(t.spark, config)
     stored = t.spark.read.schema("tables_processed map<string,bigint>").json(f"{folder}/out/metadata/batch_date=2001-08-01")

@@ -38,6 +38,19 @@ def shuffle_tasks(spark: SparkSession, tasks: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+@contextmanager
+def short_shuffles(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of what runs inside are deleted as each execution ends; otherwise they stay
+    until the driver happens to collect its garbage, and those of all steps add up."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def build_session(app_name: str = "tillwise", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the library's settings; on a cluster it needs ``spark.checkpoint.dir``."""
     builder = SparkSession.builder.appName(app_name)

@@ -10,6 +10,7 @@ from pyspark.sql.types import (
     ArrayType, BinaryType, DoubleType, FloatType, MapType, StringType, StructField, StructType,
 )
 
+from tillwise.functions.marks import marks, with_mark
 from tillwise.schemas import TABLES, schema_of
 
 FORMATS = ("parquet", "csv", "json")
@@ -106,9 +107,22 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return result
 
 
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """``df`` without full-row duplicates; only rows that may have copies are shuffled.
+
+    Hashes of rows, eight bytes each, are counted first, and those that occur again are marked. Rows without
+    a mark stay where they are read, in their order; rows with one are compared by value, so that rows
+    which merely share a hash or a mark all stay. The table is read once for each of the three.
+    """
+    hashed = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    copies = df.select(hashed.alias("_hash")).groupBy("_hash").agg(F.count("*").alias("_rows"))
+    found = marks(copies.where("_rows > 1").select("_hash"))
+    return with_mark(df, hashed, found, marked=False).unionAll(with_mark(df, hashed, found).dropDuplicates())
+
+
 def ingest(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Tables without full-row duplicates; copies fold map-side before the shuffle."""
-    return {name: df.dropDuplicates() for name, df in tables.items()}
+    """Tables without full-row duplicates."""
+    return {name: distinct_rows(df) for name, df in tables.items()}
 
 
 def row_digest(df: DataFrame) -> Column:
